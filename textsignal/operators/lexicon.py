@@ -63,17 +63,25 @@ def _boost(t: Column) -> Column:
     return F.when(t.isin(UP), F.lit(BOOST)).when(t.isin(DOWN), F.lit(-BOOST)).otherwise(F.lit(0.0))
 
 
-def token_context(text: Column) -> Column:
-    """Array of tokens, each with its three predecessors, so no window is needed."""
+def bare_tokens(text: Column) -> Column:
+    """White-space tokens without surrounding signs; short ones (emoticons) stay whole."""
 
     def bare(w: Column) -> Column:
         core = F.regexp_replace(w, r"^[\p{P}\p{S}]+|[\p{P}\p{S}]+$", "")
         return F.when(F.length(core) > 2, core).otherwise(w)
 
-    toks = F.transform(words(text), bare)
+    return F.transform(words(text), bare)
+
+
+def token_context(toks: Column, low: Column) -> Column:
+    """Each token with its three predecessors, so no window is needed.
+
+    ``toks`` and ``low`` (lower-cased) must be columns, not expressions: they are
+    looked up once per token.
+    """
 
     def look(t: Column, i: Column) -> Column:
-        back = [F.lower(F.get(toks, i - d)).alias(f"prev{d}") for d in (1, 2, 3)]
+        back = [F.get(low, i - d).alias(f"prev{d}") for d in (1, 2, 3)]
         caps = (t == F.upper(t)) & (t != F.lower(t))
         return F.struct(F.lower(t).alias("token"), caps.alias("caps"), i.alias("pos"), *back)
 
@@ -87,22 +95,19 @@ def lexicon_scores(df: DataFrame, lexicon: DataFrame, id_col: str = "doc_id", te
     the (size-checked) lexicon and are summed per row, partially before the shuffle.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = df.select(
-        id_col,
-        token_context(text).alias("_toks"),
-        F.least(mark_count(text, "!"), F.lit(4)).alias("_bang"),
-        mark_count(text, "?").alias("_ask"),
-    )
+    bang = F.least(mark_count(text, "!"), F.lit(4))
+    ask = mark_count(text, "?")
+    emphasis = bang * 0.292 + F.when(ask > 3, 0.96).when(ask > 1, ask * 0.18).otherwise(0.0)
+    rows = df.select(id_col, bare_tokens(text).alias("_bare"), emphasis.alias("_emph"))
+    rows = rows.withColumn("_low", F.transform("_bare", F.lower))
+    rows = rows.withColumn("_toks", token_context(F.col("_bare"), F.col("_low")))
     n_caps = F.size(F.filter("_toks", lambda t: t["caps"]))
     rows = rows.select(
         id_col,
         "_toks",
+        "_emph",
         ((n_caps > 0) & (n_caps < F.size("_toks"))).alias("_mixed"),
-        F.array_position(F.transform("_toks", lambda t: t["token"]), "but").alias("_but"),
-        (
-            F.col("_bang") * 0.292
-            + F.when(F.col("_ask") > 3, 0.96).when(F.col("_ask") > 1, F.col("_ask") * 0.18).otherwise(0.0)
-        ).alias("_emph"),
+        F.array_position("_low", "but").alias("_but"),
     )
     tokens = rows.select(id_col, "_mixed", "_but", "_emph", F.inline_outer("_toks"))
     hits = tokens.join(checked_broadcast(lexicon), "token", "left")
