@@ -31,7 +31,7 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     prefixes = tuple(sys.argv[2:])
     spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"})
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel(os.environ.get("LOG", "OFF"))
     bad = []
     for name in sorted(QUERIES):
         if prefixes and not name.startswith(prefixes):
