@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from textsignal.constants import WEIGHT_GRID
 from textsignal.functions.proba import argmax3, kl3, pick3, soften3
@@ -305,6 +305,7 @@ def symmetric_kl(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
 
 def grid_report(results: DataFrame, config: str, metric: str, default: str) -> DataFrame:
     """Change of every configuration against the default one, best one marked."""
-    base = results.filter(F.col(config) == default).agg(F.max(metric)).scalar()
-    top = results.agg(F.max(metric)).scalar()
+    everyone = Window.partitionBy(F.lit(0))  # one row per configuration
+    base = F.max(F.when(F.col(config) == default, F.col(metric))).over(everyone)
+    top = F.max(metric).over(everyone)
     return results.withColumns({"change": F.col(metric) - base, "best": F.col(metric) == top})

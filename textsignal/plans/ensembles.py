@@ -80,16 +80,16 @@ def i06(t):
 
 GRID_SQL = "(SELECT unnest(range(0, 5)) AS {x})"
 SEARCH = f"""
-  cfg AS (SELECT a, b, c, d FROM {GRID_SQL.format(x='a')}, {GRID_SQL.format(x='b')}, {GRID_SQL.format(x='c')}, {GRID_SQL.format(x='d')}
-          WHERE gcd(gcd(a, b), gcd(c, d)) = 1),
+  cfg AS (SELECT ka, kb, kc, kd FROM {GRID_SQL.format(x='ka')}, {GRID_SQL.format(x='kb')}, {GRID_SQL.format(x='kc')}, {GRID_SQL.format(x='kd')}
+          WHERE gcd(gcd(ka, kb), gcd(kc, kd)) = 1),
   wide AS (SELECT doc_id, label, {', '.join(f"max(p{i}) FILTER (model = '{m}') AS p{i}_{m}" for i in range(3) for m in 'abcd')} FROM probs GROUP BY ALL),
-  voted AS (SELECT a, b, c, d, label, {', '.join(f"(p{i}_a * a + p{i}_b * b + p{i}_c * c + p{i}_d * d) / (a + b + c + d) AS p{i}" for i in range(3))} FROM wide, cfg)"""
+  voted AS (SELECT ka, kb, kc, kd, label, {', '.join(f"(p{i}_a * ka + p{i}_b * kb + p{i}_c * kc + p{i}_d * kd) / (ka + kb + kc + kd) AS p{i}" for i in range(3))} FROM wide, cfg)"""
 
 
 @query(
     "i07_weight_search",
-    f"WITH {SEARCH}, {sql_scores(f'SELECT a, b, c, d, label, {ARG} AS pred FROM voted', 'a, b, c, d')}"
-    " SELECT a * 0.25::DOUBLE AS w_a, b * 0.25::DOUBLE AS w_b, c * 0.25::DOUBLE AS w_c, d * 0.25::DOUBLE AS w_d, round(f1_macro, 6) AS f1_macro FROM scores",
+    f"WITH {SEARCH}, {sql_scores(f'SELECT ka, kb, kc, kd, label, {ARG} AS pred FROM voted', 'ka, kb, kc, kd')}"
+    " SELECT ka * 0.25::DOUBLE AS w_a, kb * 0.25::DOUBLE AS w_b, kc * 0.25::DOUBLE AS w_c, kd * 0.25::DOUBLE AS w_d, round(f1_macro, 6) AS f1_macro FROM scores",
     "probs",
 )
 def i07(t):
