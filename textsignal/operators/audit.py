@@ -35,7 +35,7 @@ def describe_by(df: DataFrame, by: str, values: dict[str, Column]) -> DataFrame:
         total.alias("count"),
         mean.alias("mean"),
         F.min("v").alias("min"),
-        *[F.percentile("v", F.lit(q / 100), "w").alias(f"q{q}") for q in (25, 50, 75)],
+        *[F.percentile("v", F.lit(q / 100), F.col("w")).alias(f"q{q}") for q in (25, 50, 75)],
         F.max("v").alias("max"),
         F.sum(F.col("w") * F.col("v") * F.col("v")).alias("_s2"),
         s1.alias("_s1"),
