@@ -44,13 +44,18 @@ def last_records(df: DataFrame, session: str, turn: str, n: int = 3) -> DataFram
     return heads.withColumn("back", F.row_number().over(w))
 
 
+def _one_digit(mean: Column) -> Column:
+    """Rounded twice, so that summing order cannot move a half."""
+    return F.round(F.round(mean, 6), 1)
+
+
 def session_stats(df: DataFrame, session: str) -> DataFrame:
     """Counts by tool and class and the mean cost (one digit) of each session."""
     return df.groupBy(session).agg(
         F.count("final").alias("n"),
         *[F.count_if(F.col("tool") == t).alias(f"tool_{i}") for i, t in enumerate(TOOLS)],
         *[F.count_if(F.col("final") == c).alias(f"label_{c}") for c in CLASS_NAMES],
-        F.round(F.avg("cost"), 1).alias("mean_cost"),
+        _one_digit(F.avg("cost")).alias("mean_cost"),
     )
 
 
@@ -65,6 +70,6 @@ def running_stats(df: DataFrame, session: str, turn: str) -> DataFrame:
         {
             "n": F.count(F.lit(1)).over(w),
             **{f"tool_{i}": F.count_if(F.col("tool") == t).over(w) for i, t in enumerate(TOOLS)},
-            "mean_cost": F.round(F.avg("cost").over(w), 1),
+            "mean_cost": _one_digit(F.avg("cost").over(w)),
         }
     )

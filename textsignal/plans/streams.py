@@ -70,7 +70,9 @@ def l01(t):
 @query(
     "l02_compare_argument",
     f"""WITH {SQL_MESSAGE} SELECT conv_id, turn, trim(CASE WHEN contains(message, ':') THEN substr(message, strpos(message, ':') + 1)
-      ELSE substr(message, 9) END, E' \\t\\n\\r') AS argument FROM msg WHERE regexp_matches(trim(lower(message)), '^compare[: ]')""",
+      ELSE substr(message, 9) END, E' \\t\\n\\r') AS argument FROM msg WHERE regexp_matches(trim(lower(message)), '^compare[: ]')
+      AND NOT regexp_matches(lower(message), 'why|explain|reason|how did you|justify|history|stats|summary')
+      AND NOT (contains(lower(message), 'last') AND contains(lower(message), 'analys'))""",
 )
 def l02(t):
     rows = messages(t).filter(ss.intent(F.col("message")) == "compare")
@@ -90,7 +92,7 @@ def l03(t):
     return ss.last_records(rows, "conv_id", "turn")
 
 
-@query("l04_session_stats", STATS.format(extra=", round(avg(cost), 1) AS mean_cost"))
+@query("l04_session_stats", STATS.format(extra=", round(round(avg(cost), 6), 1) AS mean_cost"))
 def l04(t):
     return ss.session_stats(routed_turns(t.read("conversations")), "conv_id")
 
@@ -99,7 +101,7 @@ def l04(t):
     "l04_running_stats",
     f"""WITH {SESSIONS} SELECT conv_id, turn, count(*) OVER w AS n, count(*) FILTER (tool = 'VADER') OVER w AS tool_0,
     count(*) FILTER (tool = 'LightGBM+SBERT') OVER w AS tool_1, count(*) FILTER (tool = 'FinBERT-fintwitter') OVER w AS tool_2,
-    round(avg(cost) OVER w, 1) AS mean_cost FROM routed WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)""",
+    round(round(avg(cost) OVER w, 6), 1) AS mean_cost FROM routed WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)""",
 )
 def l04r(t):
     rows = ss.running_stats(routed_turns(t.read("conversations")), "conv_id", "turn")

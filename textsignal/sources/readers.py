@@ -54,11 +54,11 @@ def shape_check(probs: DataFrame, gold: DataFrame, n_classes: int = 3) -> DataFr
     )
 
 
-def read_run_records(spark: SparkSession, path: str) -> DataFrame:
-    """Run records of a folder; broken files are dropped, missing keys get defaults."""
+def read_run_records(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+    """Run records of a folder; broken ones are dropped, missing keys get defaults."""
     raw = (
         spark.read.schema(schemas.RUN_RECORD)
-        .option("multiLine", True)
+        .option("multiLine", not one_per_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .json(path)
