@@ -1 +1,299 @@
-"""Registered queries."""
+"""Registered queries: classifiers, model selection, stacking."""
+
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame, functions as F
+
+from textsignal.functions import surface
+from textsignal.functions.clean import cashtag_variant, fix_text
+from textsignal.functions.proba import map_model_label
+from textsignal.operators import classify as cl
+from textsignal.operators import sparse as sp
+from textsignal.operators.dense import smote
+from textsignal.operators.ensemble import equal_vote
+from textsignal.operators.features import SURFACE_COLUMNS, standardise
+from textsignal.operators.split import stratified_folds, with_class_weights
+from textsignal.operators.stats import rank_sum_auc
+from textsignal.plans.evaluation import preds, rounded
+from textsignal.plans.registry import query
+from textsignal.plans.views import sql_uniform
+
+K = 3
+MAX_TERMS = 2000
+
+
+def rows3(t) -> DataFrame:
+    """Labelled texts with three folds."""
+    return stratified_folds(t.social_gold, "doc_id", "label", K)
+
+
+def surface_rows(t) -> DataFrame:
+    """Standardised surface features as vectors, with folds and class weights."""
+    cols = surface.surface_columns(F.col("text"))
+    base = rows3(t).select("doc_id", "label", "fold", *[cols[c].cast("double").alias(c) for c in SURFACE_COLUMNS])
+    scaled = standardise(base, SURFACE_COLUMNS)
+    packed = scaled.select("doc_id", "label", "fold", array_to_vector(F.array(*SURFACE_COLUMNS)).alias("features"))
+    return with_class_weights(packed, "label")
+
+
+def tfidf_features(train: DataFrame, test: DataFrame, bigrams: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Vocabulary and idf from the training rows only."""
+    counts = sp.word_term_counts(train, bigrams=bigrams)
+    vocab = sp.fit_vocabulary(counts, sp.corpus_size(train), MAX_TERMS, min_df=2, max_df=0.8)
+
+    def build(rows: DataFrame) -> DataFrame:
+        w = sp.tfidf(sp.word_term_counts(rows, bigrams=bigrams), vocab)
+        vectors = sp.to_sparse_vectors(w, vocab, MAX_TERMS)
+        return with_class_weights(rows.select("doc_id", "label", "fold"), "label").join(vectors, "doc_id")
+
+    return build(train), build(test)
+
+
+def check(oof: DataFrame) -> DataFrame:
+    """What can be said without an oracle: every row once, probabilities sum to one."""
+    total = F.col("p0") + F.col("p1") + F.col("p2")
+    return oof.select("doc_id", "label", "fold", "pred", F.round(total, 6).alias("p_sum"))
+
+
+TRAIN_TEST = "tr AS (SELECT * FROM folds WHERE fold <> 0), te AS (SELECT * FROM folds WHERE fold = 0)"
+
+
+def split0(t):
+    f = t.folds
+    return f.filter("fold <> 0"), f.filter("fold = 0")
+
+
+@query(
+    "g01_majority",
+    f"WITH {TRAIN_TEST} SELECT doc_id, label, (SELECT label FROM tr GROUP BY label ORDER BY count(*) DESC, label LIMIT 1) AS pred FROM te",
+    "folds",
+)
+def g01(t):
+    return cl.majority_baseline(*split0(t)).select("doc_id", "label", "pred")
+
+
+@query(
+    "g02_stratified_random",
+    f"""WITH {TRAIN_TEST}, s AS (SELECT avg((label <= 0)::INT) AS c0, avg((label <= 1)::INT) AS c1 FROM tr)
+    SELECT doc_id, label, CASE WHEN u < c0 THEN 0 WHEN u < c1 THEN 1 ELSE 2 END AS pred FROM
+    (SELECT *, {sql_uniform("'42|random|'||doc_id")} AS u FROM te), s""",
+    "folds",
+)
+def g02(t):
+    return cl.random_baseline(*split0(t)).select("doc_id", "label", "pred")
+
+
+def sql_nb(alpha: float, complement: bool) -> str:
+    n = "(n0 + n1 + n2 - n{c})" if complement else "n{c}"
+    sign = "-" if complement else ""
+    prior = "0::DOUBLE" if complement else "ln(avg((label = {c})::INT))"
+    w = ", ".join(f"{sign}ln((m{c} + {alpha}::DOUBLE) / (sum(m{c}) OVER () + {alpha}::DOUBLE * count(*) OVER ())) AS w{c}" for c in range(3))
+    return f"""WITH {TRAIN_TEST},
+    toks AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\\pL\\pN_]{{2,}}')) AS term FROM corpus),
+    vocab AS (SELECT term FROM toks SEMI JOIN tr USING (doc_id) GROUP BY term HAVING count(*) >= 2 ORDER BY count(*) DESC, term LIMIT 20000),
+    cnt AS (SELECT term, {', '.join(f'count(*) FILTER (label = {c}) AS n{c}' for c in range(3))} FROM toks JOIN tr USING (doc_id) SEMI JOIN vocab USING (term) GROUP BY term),
+    eff AS (SELECT term, {', '.join(n.format(c=c) + f' AS m{c}' for c in range(3))} FROM cnt),
+    wts AS (SELECT term, {w} FROM eff),
+    pri AS (SELECT {', '.join(prior.format(c=c) + f' AS b{c}' for c in range(3))} FROM tr),
+    sums AS (SELECT doc_id, {', '.join(f'sum(w{c}) AS w{c}' for c in range(3))} FROM toks JOIN wts USING (term) GROUP BY doc_id),
+    sc AS (SELECT te.doc_id, label, {', '.join(f'b{c} + coalesce(w{c}, 0) AS s{c}' for c in range(3))} FROM te LEFT JOIN sums USING (doc_id), pri)
+    SELECT doc_id, label, {', '.join(f'round(s{c}, 5) AS s{c}' for c in range(3))},
+      CASE WHEN round(s0,9)>=round(s1,9) AND round(s0,9)>=round(s2,9) THEN 0 WHEN round(s1,9)>=round(s2,9) THEN 1 ELSE 2 END AS pred FROM sc"""
+
+
+def naive_bayes(t, alpha, complement):
+    counts = sp.word_term_counts(t.corpus)
+    return rounded(cl.naive_bayes_split(counts, t.folds, 0, alpha, complement), 5)
+
+
+@query("g03_multinomial_nb", sql_nb(1.0, False), "folds corpus")
+def g03(t):
+    return naive_bayes(t, 1.0, False)
+
+
+@query("g03_complement_nb", sql_nb(0.5, True), "folds corpus")
+def g03c(t):
+    return naive_bayes(t, 0.5, True)
+
+
+@query("g03_nb_mllib")
+def g03m(t):
+    oof, _ = cl.cross_validate(rows3(t), lambda: cl.make_estimator("naive_bayes"), "nb", K, tfidf_features)
+    return check(oof)
+
+
+@query("g04_logistic")
+def g04(t):
+    make = lambda: cl.make_estimator("logistic", 266, "weight", C=1.0, maxIter=20)
+    oof, _ = cl.cross_validate(rows3(t), make, "logistic", K, lambda a, b: tfidf_features(a, b, bigrams=True))
+    return check(oof)
+
+
+@query("g05_svm_calibrated")
+def g05(t):
+    rows = surface_rows(t)
+    margins = cl.oof_margins(rows, lambda: cl.make_estimator("svm", 266, "weight", C=1.0, maxIter=10), K)
+    got = cl.platt_calibrate(margins)
+    return got.select("doc_id", "label", "pred", F.round(F.col("p0") + F.col("p1") + F.col("p2"), 6).alias("p_sum"))
+
+
+def _dense_query(name, kind, **params):
+    @query(name)
+    def run(t):
+        weight = None if kind == "mlp" else "weight"
+        oof, _ = cl.cross_validate(surface_rows(t), lambda: cl.make_estimator(kind, 266, weight, **params), kind, K)
+        return check(oof)
+
+
+_dense_query("g07_mlp", "mlp", layers=[len(SURFACE_COLUMNS), 32, 16, 3], maxIter=20)
+_dense_query("g08_forest", "forest", numTrees=20)
+_dense_query("g09_boosted", "boosted", maxIter=5, maxDepth=3)
+
+
+@query("g10_metric_record")
+def g10(t):
+    make = lambda: cl.make_estimator("logistic", 266, "weight", maxIter=20)
+    _, record = cl.cross_validate(surface_rows(t), make, "logistic", K)
+    return rounded(record.drop("time_s"))
+
+
+@query("g11_out_of_fold")
+def g11(t):
+    make = lambda: cl.make_estimator("forest", 266, "weight", numTrees=10)
+    oof, _ = cl.cross_validate(surface_rows(t), make, "forest", K)
+    return oof.select("doc_id", "label", "fold", "pred")
+
+
+@query("g12_search")
+def g12(t):
+    est = LogisticRegression(weightCol="weight", maxIter=10)
+    grid = cl.random_grid(est, {"regParam": [0.001, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5]}, 4)
+    return rounded(cl.search(surface_rows(t), est, grid, K))
+
+
+@query(
+    "g13_hard_vote",
+    "SELECT doc_id, label, pred FROM (SELECT doc_id, label, pred, row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, pred) AS rn"
+    " FROM preds GROUP BY doc_id, label, pred) WHERE rn = 1",
+    "preds",
+)
+def g13(t):
+    return cl.hard_vote(preds(t), ["doc_id", "label"])
+
+
+@query(
+    "g13_soft_vote",
+    "SELECT doc_id, label, " + ", ".join(f"round(avg(p{i}), 6) AS p{i}" for i in range(3)) + " FROM probs GROUP BY doc_id, label",
+    "probs",
+)
+def g13b(t):
+    return rounded(equal_vote(t.probs, ["doc_id", "label"]))
+
+
+@query(
+    "g14_meta_table",
+    "SELECT doc_id, label, "
+    + ", ".join(f"round(max(p{i}) FILTER (model = '{m}'), 6) AS {m}_p{i}" for m in "abcd" for i in range(3))
+    + " FROM probs GROUP BY doc_id, label",
+    "probs",
+)
+def g14(t):
+    return rounded(cl.meta_table(t.probs, list("abcd"), ["doc_id", "label"]))
+
+
+@query("g14_stacking")
+def g14s(t):
+    folds = stratified_folds(t.gold, "doc_id", "label", K).select("doc_id", "fold")
+    oof, _ = cl.stack(t.probs.join(folds, "doc_id"), list("abcd"), ["doc_id", "label", "fold"], K)
+    return check(oof)
+
+
+def _record(rows, name, featurise=cl.as_is, prepare=None, weight="weight"):
+    make = lambda: cl.make_estimator("logistic", 266, weight, maxIter=10)
+    return cl.cross_validate(rows, make, name, K, featurise, prepare)[1]
+
+
+@query("g15_preprocessing_ablation")
+def g15(t):
+    rows = rows3(t)
+    variants = {
+        "raw": F.col("text"),
+        "fixed": fix_text(F.col("text")),
+        "no_cashtag": cashtag_variant(F.col("text"), "removed"),
+    }
+    recs = {n: _record(rows.withColumn("text", c), n, tfidf_features) for n, c in variants.items()}
+    return rounded(cl.compare_variants(recs, "raw"))
+
+
+@query("g15_smote_or_weights")
+def g15b(t):
+    rows = surface_rows(t)
+
+    def balance(train: DataFrame) -> DataFrame:
+        from pyspark.ml.functions import vector_to_array
+
+        dense = train.select("doc_id", "label", vector_to_array("features").alias("v"))
+        made = smote(dense, "doc_id", "label", "v").select("doc_id", "label", F.col("vector").alias("v"))
+        return dense.unionByName(made).select("doc_id", "label", array_to_vector("v").alias("features"))
+
+    recs = {"weights": _record(rows, "weights"), "smote": _record(rows, "smote", prepare=balance, weight=None)}
+    return rounded(cl.compare_variants(recs, "weights"))
+
+
+@query(
+    "g16_rank_sum_auc",
+    """WITH s AS (SELECT p1 AS score, (label = 1)::INT AS y FROM probs WHERE model = 'b'),
+    r AS (SELECT y, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS r FROM s)
+    SELECT round((sum(r) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2) / (sum(y) * (count(*) - sum(y))), 6) AS auc FROM r""",
+    "probs",
+)
+def g16(t):
+    rows = t.probs.filter("model = 'b'").select(F.col("p1").alias("score"), (F.col("label") == 1).cast("int").alias("y"))
+    return rounded(rank_sum_auc(rows, "score", "y"))
+
+
+@query("g16_adversarial")
+def g16b(t):
+    rows = stratified_folds(cl.adversarial_rows(t.split_a, t.split_b), "doc_id", "label", K)
+    make = lambda: cl.make_estimator("logistic", 666, "weight", maxIter=10)
+    oof, _ = cl.cross_validate(rows, make, "adversarial", K, tfidf_features)
+    return rounded(rank_sum_auc(oof, "p1", "label"), 4)
+
+
+NAMES = ["Bearish", "POSITIVE", "neutral", "LABEL_1", "negative", "bullish", "LABEL_0"]
+
+
+@query(
+    "g17_label_names",
+    "SELECT doc_id, CAST(CASE WHEN regexp_matches(lower(name), 'bear|negative') THEN 0 WHEN regexp_matches(lower(name), 'bull|positive') THEN 1"
+    " WHEN contains(lower(name), 'neutral') THEN 2 ELSE doc_id % 3 END AS INTEGER) AS cls FROM (SELECT doc_id, CASE doc_id % 7 "
+    + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(NAMES))
+    + " END AS name FROM documents)",
+)
+def g17(t):
+    name = F.element_at(F.array(*[F.lit(n) for n in NAMES]), (F.col("doc_id") % 7 + 1).cast("int"))
+    return t.documents.select("doc_id", map_model_label(name, F.col("doc_id") % 3).alias("cls"))
+
+
+def _load_length_predictor():
+    """A stand-in for a model: shares from the counts of three letters."""
+
+    def predict(pdf):
+        raw = [pdf["text"].str.count(ch) + 1 for ch in "aeo"]
+        total = raw[0] + raw[1] + raw[2]
+        return {f"p{i}": r / total for i, r in enumerate(raw)}
+
+    return predict
+
+
+@query(
+    "g17_batch_predict",
+    "SELECT doc_id, "
+    + ", ".join(
+        f"round((length(text) - length(replace(text, '{ch}', '')) + 1)::DOUBLE / (length(text) * 3 - length(replace(text, 'a', '')) - length(replace(text, 'e', '')) - length(replace(text, 'o', '')) + 3), 6) AS p{i}"
+        for i, ch in enumerate("aeo")
+    )
+    + " FROM documents",
+)
+def g17b(t):
+    return rounded(cl.predict_table(t.documents, _load_length_predictor, "doc_id", ["text"]))
