@@ -28,6 +28,7 @@ from textsignal.functions.proba import argmax3
 from textsignal.operators.metrics import CELLS, confusion_cells, macro_f1, metric_record, overall_scores, score
 from textsignal.operators.sparse import bag_of_words, corpus_size, fit_vocabulary
 from textsignal.session import scratch_path
+from textsignal.sources.writers import materialise
 
 P = ["p0", "p1", "p2"]
 
@@ -139,6 +140,12 @@ def with_probabilities(predictions: DataFrame, margin_scale: float = 2.0) -> Dat
 Featurise = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written once and read back: fitting passes over its input many times."""
+    spark = df.sparkSession
+    return materialise(spark, scratch_path(spark, name), lambda: df)
+
+
 def as_is(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
     return train, test
 
@@ -160,11 +167,14 @@ def cross_validate(
     """
     spark, started = rows.sparkSession, time.time()
     path = scratch_path(spark, f"oof-{name}")
+    rows = stored(rows, f"rows-{name}")
 
     def run(fold: int) -> dict:
-        train, test = featurise(rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold))
+        train, test = rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold)
+        if featurise is not as_is:
+            train, test = (stored(part, f"fold-{name}") for part in featurise(train, test))
         if prepare_train:
-            train = prepare_train(train)
+            train = stored(prepare_train(train), f"train-{name}")
         model = make().fit(train)
         got = with_probabilities(model.transform(test)).select("doc_id", "label", F.lit(fold).alias("fold"), *P, "pred")
         got.write.mode("overwrite").parquet(f"{path}/part={fold}")
@@ -184,7 +194,8 @@ def cross_validate(
 def platt_calibrate(margins: DataFrame, margin_col: str = "rawPrediction") -> DataFrame:
     """Sigmoid per class fitted on out-of-fold margins, normalised over classes."""
     raw = vector_to_array(margin_col)
-    rows = margins.withColumns({f"m{c}": F.get(raw, F.lit(c)) for c in range(3)})
+    keep = [c for c in margins.columns if c != margin_col]
+    rows = margins.select(*keep, *[F.get(raw, F.lit(c)).alias(f"m{c}") for c in range(3)])
     for c in range(3):
         one = rows.withColumn("_x", array_to_vector(F.array(f"m{c}")))
         one = one.withColumn("_y", (F.col("label") == c).cast("double"))
@@ -200,6 +211,7 @@ def oof_margins(rows: DataFrame, make: Callable[[], Estimator], k: int) -> DataF
     """Stored out-of-fold ``rawPrediction`` of every row."""
     spark = rows.sparkSession
     path = scratch_path(spark, "margins")
+    rows = stored(rows, "margin-rows")
     for fold in range(k):
         model = make().fit(rows.filter(F.col("fold") != fold))
         got = model.transform(rows.filter(F.col("fold") == fold)).select("doc_id", "label", "rawPrediction")
@@ -241,7 +253,7 @@ def search(rows: DataFrame, estimator: Estimator, grid: list[dict], k: int, para
     cv = CrossValidator(
         estimator=estimator, estimatorParamMaps=grid, evaluator=MacroF1(), foldCol="fold", numFolds=k, parallelism=parallelism
     )
-    scores = cv.fit(rows).avgMetrics
+    scores = cv.fit(stored(rows, "search-rows")).avgMetrics
     top = max(range(len(scores)), key=lambda i: (scores[i], -i))
     table = [
         (", ".join(f"{p.name}={v}" for p, v in sorted(g.items(), key=lambda e: e[0].name)), float(s), i == top)

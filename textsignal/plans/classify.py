@@ -86,7 +86,7 @@ def g02(t):
 def sql_nb(alpha: float, complement: bool) -> str:
     n = "(n0 + n1 + n2 - n{c})" if complement else "n{c}"
     sign = "-" if complement else ""
-    prior = "0::DOUBLE" if complement else "ln(avg((label = {c})::INT))"
+    prior = "max(0)::DOUBLE" if complement else "ln(avg((label = {c})::INT))"
     w = ", ".join(f"{sign}ln((m{c} + {alpha}::DOUBLE) / (sum(m{c}) OVER () + {alpha}::DOUBLE * count(*) OVER ())) AS w{c}" for c in range(3))
     return f"""WITH {TRAIN_TEST},
     toks AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\\pL\\pN_]{{2,}}')) AS term FROM corpus),
