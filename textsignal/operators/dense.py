@@ -46,28 +46,17 @@ def mean_pool(df: DataFrame, vectors: DataFrame, dim: int, id_col: str = "doc_id
     """
     placed = df.select(id_col, F.col(text_col)).repartition(id_col)
     counts = (
-        placed.select(id_col, F.explode_outer(words(F.col(text_col))).alias("word"))
+        placed.select(id_col, F.explode(words(F.col(text_col))).alias("word"))
         .groupBy(id_col, "word")
         .agg(F.count(F.lit(1)).cast("double").alias("n"))
     )
-    hit = counts.join(checked_broadcast(vectors), "word", "left")
-    zeros = F.array_repeat(F.lit(0.0), dim)
-    n = F.coalesce("n", F.lit(1.0))
-    known = F.when(F.col("vector").isNotNull(), n).otherwise(F.lit(0.0))
-    packed = hit.select(
-        id_col,
-        array_to_vector(F.coalesce(F.col("vector").cast("array<double>"), zeros)).alias("v"),
-        n.alias("n"),
-        known.alias("known"),
-    )
-    pooled = packed.groupBy(id_col).agg(
-        vector_to_array(Summarizer.mean(F.col("v"), F.col("n"))).alias("m"),
-        (F.sum("n") / F.sum("known")).alias("up"),
-        F.sum("known").alias("known"),
+    hits = counts.join(checked_broadcast(vectors), "word").select(
+        id_col, "n", array_to_vector(F.col("vector").cast("array<double>")).alias("v")
     )
-    # unknown tokens took part as zeros; scale them out again
-    mean = F.transform("m", lambda x: x * F.col("up"))
-    return pooled.select(id_col, F.when(F.col("known") > 0, mean).otherwise(zeros).alias("vector"))
+    pooled = hits.groupBy(id_col).agg(vector_to_array(Summarizer.mean(F.col("v"), F.col("n"))).alias("vector"))
+    zeros = F.array_repeat(F.lit(0.0), dim)
+    ids = df.select(id_col)
+    return ids.join(pooled, id_col, "left").select(id_col, F.coalesce("vector", zeros).alias("vector"))
 
 
 def most_similar(vectors: DataFrame, terms: list, n: int, id_col: str = "word", vec_col: str = "vector") -> DataFrame:

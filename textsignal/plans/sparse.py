@@ -102,14 +102,16 @@ def d08(t):
     return _summary(sp.tfidf(*sp.fit_tfidf(t.documents, "ablation")))
 
 
+U = sql_uniform("'split|'||doc_id")
+
+
 @query(
     "d09_fit_transform_other",
-    f"WITH {UNI.replace('FROM documents', 'FROM train')}, {COUNTS}, {vocab(20000, 2, 0.8).replace('FROM documents', 'FROM train')},"
-    f" other AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({TOKENS}) AS term FROM test) GROUP BY ALL),"
-    " raw AS (SELECT doc_id, term, (1 + ln(tf)) * idf AS w FROM other JOIN vocab USING (term))"
-    " SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw".replace(
-        "WITH ", "WITH ", 1
-    ),
+    f"""WITH train AS (SELECT * FROM documents WHERE {U} < 0.8), test AS (SELECT * FROM documents WHERE {U} >= 0.8),
+    {UNI.replace('FROM documents', 'FROM train')}, {COUNTS}, {vocab(20000, 2, 0.8).replace('FROM documents', 'FROM train')},
+    other AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({TOKENS}) AS term FROM test) GROUP BY ALL),
+    raw AS (SELECT doc_id, term, (1 + ln(tf)) * idf AS w FROM other JOIN vocab USING (term))
+    SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw""",
 )
 def d09(t):
     u = uniform(F.lit("split"), F.col("doc_id"))
@@ -118,15 +120,6 @@ def d09(t):
     return sp.tfidf(sp.word_term_counts(test), v).withColumn("weight", F.round("weight", 6))
 
 
-def _split_ctes() -> str:
-    u = sql_uniform("'split|'||doc_id")
-    return f"train AS (SELECT * FROM documents WHERE {u} < 0.8), test AS (SELECT * FROM documents WHERE {u} >= 0.8)"
-
-
-from textsignal.plans.registry import ORACLES  # noqa: E402
-
-ORACLES["d09_fit_transform_other"] = ORACLES["d09_fit_transform_other"].replace("WITH ", f"WITH {_split_ctes()}, ", 1)
-
 STOPS_SQL = "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS) + ")"
 EDA_SQL = (
     "lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, 'https?://\\S+|www\\.\\S+', ' ', 'g'),"

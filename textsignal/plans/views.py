@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textsignal.functions.hashing import uniform
 from textsignal.operators.split import stratified_folds
-from textsignal.sources import schemas
-from textsignal.sources.readers import read_table
+from textsignal.sources.readers import read_table, spread
 
 # Model -> skill of the derived probability tables.
 SKILLS = {"a": 0.6, "b": 0.5, "c": 0.45, "d": 0.3}
@@ -32,7 +31,7 @@ class Tables:
 
     @property
     def documents(self) -> DataFrame:
-        return self.read("documents")
+        return spread(self.read("documents"), "doc_id")
 
     @property
     def embeddings(self) -> DataFrame:
@@ -253,4 +252,3 @@ def with_views(body: str, *names: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
-__all__ = ["Tables", "with_views", "sql_uniform", "schemas"]

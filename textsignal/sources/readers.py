@@ -11,6 +11,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a table of few splits to all cores before heavy per-row work.
+
+    Large tables have more splits than cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(2 * cores, key)
+
+
 def read_text_csv(spark: SparkSession, path: str, labelled: bool = True) -> DataFrame:
     """Text corpus with quoted, possibly multi-line fields."""
     schema = schemas.LABELLED if labelled else schemas.UNLABELLED
