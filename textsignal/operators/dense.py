@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from textsignal.constants import SEED
 from textsignal.functions.clean import words
 from textsignal.functions.hashing import digest, uniform
-from textsignal.operators.joins import checked_broadcast
+from textsignal.operators.joins import checked_broadcast, place_by
 from textsignal.operators.knn import knn, unit_vector
 from textsignal.operators.split import distributed_rank
 
@@ -44,7 +44,7 @@ def mean_pool(df: DataFrame, vectors: DataFrame, dim: int, id_col: str = "doc_id
     Tokens are counted per text before they meet the vectors, and the mean is a
     weighted, partially aggregated summary.
     """
-    placed = df.select(id_col, F.col(text_col)).repartition(id_col)
+    placed = place_by(df.select(id_col, F.col(text_col)), id_col)
     counts = (
         placed.select(id_col, F.explode(words(F.col(text_col))).alias("word"))
         .groupBy(id_col, "word")

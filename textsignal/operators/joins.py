@@ -1,4 +1,4 @@
-"""Join helpers."""
+"""Placement and join helpers."""
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -14,3 +14,13 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     if df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def place_by(df: DataFrame, key: str) -> DataFrame:
+    """Hash-place rows by ``key`` into the session's number of shuffle partitions.
+
+    The number is explicit: texts grow many times over when they are exploded, and
+    adaptive coalescing, which only sees their size before that, would put them
+    into too few tasks.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)

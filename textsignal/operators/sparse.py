@@ -10,6 +10,7 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textsignal.functions.clean import words
+from textsignal.operators.joins import place_by
 from textsignal.operators.split import head_per_group, top_per_group
 
 # --- fixed values: token patterns ---------------------------------------------------
@@ -28,18 +29,18 @@ def with_bigrams(tokens: Column) -> Column:
     return F.concat(tokens, pairs)
 
 
-def char_grams(word: Column, low: int = 3, high: int = 5) -> Column:
-    """Grams of a word padded by one space on both sides."""
-    padded = F.concat(F.lit(" "), word, F.lit(" "))
-    top = F.least(F.lit(high), F.length(padded))
-    return F.flatten(
-        F.transform(
-            F.sequence(F.lit(low), top),
-            lambda n: F.transform(
-                F.sequence(F.lit(1), F.length(padded) - n + 1), lambda i: F.substring(padded, i, n)
-            ),
-        )
-    )
+def char_gram_rows(counted: DataFrame, keep: list[str], low: int = 3, high: int = 5) -> DataFrame:
+    """``(keep, term)``: grams of ``word`` padded by one space on both sides.
+
+    One row per start position, then one per length that still fits; both steps
+    are generated code.
+    """
+    padded = counted.select(*keep, F.concat(F.lit(" "), "word", F.lit(" ")).alias("_w"))
+    starts = F.explode(F.sequence(F.lit(1), F.length("_w") - low + 1))
+    rows = padded.select(*keep, "_w", starts.alias("_i"))
+    room = F.length("_w") - F.col("_i") + 1
+    pieces = F.array(*[F.when(room >= n, F.substr("_w", "_i", F.lit(n))) for n in range(low, high + 1)])
+    return rows.select(*keep, F.explode(pieces).alias("term")).filter(F.col("term").isNotNull())
 
 
 def word_term_counts(
@@ -57,7 +58,7 @@ def word_term_counts(
     and the later row norm then need no shuffle of tokens.
     """
     keep = keep or []
-    placed = df.select(id_col, *keep, F.col(text_col)).repartition(id_col)
+    placed = place_by(df.select(id_col, *keep, F.col(text_col)), id_col)
     toks = placed.select(id_col, *keep, word_tokens(F.col(text_col), pattern).alias("_t"))
     if stop_words:
         toks = toks.withColumn("_t", F.filter("_t", lambda t: ~t.isin(stop_words)))
@@ -69,10 +70,10 @@ def word_term_counts(
 
 def char_term_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, term, tf)`` of character grams; equal words of a text are cut up once."""
-    placed = df.select(id_col, F.col(text_col)).repartition(id_col)
+    placed = place_by(df.select(id_col, F.col(text_col)), id_col)
     toks = placed.select(id_col, F.explode(words(F.lower(F.col(text_col)))).alias("word"))
     counted = toks.groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("n"))
-    grams = counted.select(id_col, "n", F.explode(char_grams(F.col("word"))).alias("term"))
+    grams = char_gram_rows(counted, [id_col, "n"])
     return grams.groupBy(id_col, "term").agg(F.sum("n").alias("tf"))
 
 

@@ -55,11 +55,10 @@ def d01(t):
 
 @query("d02_char_grams", f"WITH {CHARS} SELECT term, CAST(sum(n) AS BIGINT) AS n FROM grams GROUP BY term")
 def d02(t):
-    counted = t.documents.select(F.explode(words(F.lower("text"))).alias("w")).groupBy("w").agg(
+    counted = t.documents.select(F.explode(words(F.lower("text"))).alias("word")).groupBy("word").agg(
         F.count(F.lit(1)).alias("n")
     )
-    grams = counted.select("n", F.explode(sp.char_grams(F.col("w"))).alias("term"))
-    return grams.groupBy("term").agg(F.sum("n").alias("n"))
+    return sp.char_gram_rows(counted, ["n"]).groupBy("term").agg(F.sum("n").alias("n"))
 
 
 @query("d03_vocabulary", f"WITH {UNI}, {COUNTS}, {vocab(20000, 2, 0.8)} SELECT term, df, total, round(idf, 6) AS idf FROM vocab")
