@@ -9,7 +9,7 @@ from textsignal.plans.views import Tables
 SF = "/root/testdata/sf0.001"
 TABLES = "documents embeddings labels conversations events pages".split()
 SAMPLE = [
-    "a03_run_records", "a05_write_probabilities", "b07_clean_noise", "b16_pipeline", "b22_fix_text", "c01_lexicon",
+    "a03_run_records", "a05_write_probabilities", "b07_clean_noise", "b16_full_clean", "b22_fix_text", "c01_lexicon",
     "d05_tfidf_unigram", "d10_top_terms", "e03_mean_pool", "e11_knn_5", "f01_folds", "g03_multinomial_nb",
     "h03_report", "h14_temperature_search", "i07_weight_search", "j02_length_summary", "j10_normalised_overlap",
     "k03_route", "k05_tau_sweep", "l04_session_stats", "l05_stream_route", "l06_stream_last_three", "l07_stream_windows",

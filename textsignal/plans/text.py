@@ -158,18 +158,18 @@ def b15(t):
     return stem_vocabulary(toks, "tokens").select("token", F.col("target").alias("stem"))
 
 
-@query("b16_pipeline", f"SELECT doc_id, array_to_string({SQL_PIPELINE}, ' ') AS clean FROM social", "social")
+@query("b16_full_clean", f"SELECT doc_id, array_to_string({SQL_PIPELINE}, ' ') AS clean FROM social", "social")
 def b16(t):
     return full_pipeline(t.social, use_lemmatize=False)
 
 
-@query("b16_pipeline_stemmed")
+@query("b16_full_clean_stemmed")
 def b16s(t):
     return full_pipeline(t.social, use_stem=True)
 
 
 @query(
-    "b17_pipeline_column",
+    "b17_clean_column",
     f"SELECT conv_id, turn, array_to_string({SQL_PIPELINE}, ' ') AS clean FROM conversations",
 )
 def b17(t):
