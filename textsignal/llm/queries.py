@@ -1,4 +1,4 @@
 """Importing the query modules fills the registry."""
 
-from textsignal.llm import q_decontaminate, q_fingerprints, q_shard  # noqa: F401
+from textsignal.llm import q_decontaminate, q_fingerprints, q_language, q_near_dup, q_shard  # noqa: F401
 from textsignal.llm.registry import ORACLES, QUERIES  # noqa: F401
