@@ -1,4 +1,11 @@
 """Importing the query modules fills the registry."""
 
-from textsignal.llm import q_decontaminate, q_fingerprints, q_language, q_near_dup, q_shard  # noqa: F401
+from textsignal.llm import (  # noqa: F401
+    q_decontaminate,
+    q_fingerprints,
+    q_language,
+    q_near_dup,
+    q_shard,
+    q_toxicity,
+)
 from textsignal.llm.registry import ORACLES, QUERIES  # noqa: F401
