@@ -139,21 +139,20 @@ def successors(ids: DataFrame, col: str) -> DataFrame:
 def edited_texts(docs: DataFrame, places: DataFrame) -> DataFrame:
     """(doc_id, text_key, edited): the last quarter of a text replaced by the start of the next document.
 
-    ``places`` has doc_id, text_key, quarter, next_id and next_key.  Whole texts move once, placed by doc_id; of the
-    next document only the part that is used moves.
+    ``places`` has doc_id, text_key, quarter, next_id and next_key for every id that is not null.  Whole texts move once,
+    placed by doc_id for both joins; of the next document only the part that is used moves.  A
+    row with a null id keeps its text.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    every = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = every.filter("doc_id IS NOT NULL")  # the same on both sides, so one exchange serves both joins
     wanted = places.groupBy("next_id", "next_key").agg(F.max("quarter").alias("most"), F.first("doc_id").alias("for_id"))
     wanted = wanted.select(F.col("next_id").alias("doc_id"), "next_key", "most", "for_id")
     heads = rows.join(wanted, "doc_id").filter(F.xxhash64("text") == F.col("next_key"))
     heads = heads.select(F.col("for_id").alias("doc_id"), F.expr("left(text, most)").alias("head"))
     heads = heads.groupBy("doc_id").agg(F.first("head").alias("head"))
-    joined = rows.join(heads, "doc_id", "left")
-    quarter = F.expr("length(text) div 4")
+    joined = rows.join(heads, "doc_id")
     kept = F.expr("left(text, cast(length(text) - length(text) div 4 AS int))")
-    tail = F.when(F.col("head").isNull(), F.expr("right(text, cast(length(text) div 4 AS int))")).otherwise(
-        F.substring(F.col("head"), F.lit(1), quarter.cast("int"))
-    )
-    return joined.select("doc_id", F.xxhash64("text").alias("text_key"), F.concat(kept, tail).alias("edited"))
-
-
+    tail = F.expr("left(head, cast(length(text) div 4 AS int))")
+    edited = joined.select("doc_id", F.xxhash64("text").alias("text_key"), F.concat(kept, tail).alias("edited"))
+    unplaced = every.filter("doc_id IS NULL").select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").alias("edited"))
+    return edited.union(unplaced)
