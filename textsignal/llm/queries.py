@@ -8,5 +8,6 @@ from textsignal.llm import (  # noqa: F401
     q_pii,
     q_shard,
     q_toxicity,
+    q_warc,
 )
 from textsignal.llm.registry import ORACLES, QUERIES  # noqa: F401
