@@ -6,6 +6,7 @@ from textsignal.llm import (  # noqa: F401
     q_language,
     q_near_dup,
     q_pii,
+    q_quotes,
     q_shard,
     q_toxicity,
     q_warc,
