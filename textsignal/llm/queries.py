@@ -5,6 +5,7 @@ from textsignal.llm import (  # noqa: F401
     q_fingerprints,
     q_language,
     q_near_dup,
+    q_packing,
     q_pii,
     q_quotes,
     q_shard,
