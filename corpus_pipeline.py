@@ -2,26 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textsignal.llm.common import store
+from textsignal.llm import language, near_dup, pii
+from textsignal.llm.common import held_out, store
 from textsignal.llm.decontaminate import decontaminate
+from textsignal.llm.q_packing import packed
 from textsignal.sources.readers import read_table
 
+LEAST_SCORE = 0.5
+
+
+def boxed(docs: DataFrame) -> DataFrame:
+    """The row as one column beside its text, so that no result of an operator meets a column of the same name."""
+    return docs.select(F.struct(*docs.columns).alias("_doc"), F.col("text").alias("_text"))
+
+
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known: rejected are those without a letter and those no language prevails for.
+
+    The model learns as in the language query, from the rows of the corpus that name a language.
+    """
+    model = language.train(docs.filter(~held_out(F.col("doc_id"))))
+    found = language.identify(boxed(docs), model, "_text")
+    kept = found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return kept.select("_doc.*")
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near-duplicates the document with the least id."""
+    return near_dup.one_per_component(docs)
+
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a word window of the benchmark."""
-    found = decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
-    return found.filter("n_hit = 0").select(*docs.columns)
+    found = decontaminate(boxed(docs), read_table(spark, sf_dir, "benchmark"), "_text")
+    return found.filter("n_hit = 0").select("_doc.*")
+
+
+def sanitised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data generalised in their text; ``n_chars`` follows the text."""
+    clean = pii.sanitise(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def batched(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per document: its length, bucket, batch and place."""
+    return packed(docs)
 
 
-STAGES = [("decontamination", decontaminated)]
+STAGES = [
+    ("language_id", identified),
+    ("near_dedup", deduplicated),
+    ("decontamination", decontaminated),
+    ("pii", sanitised),
+    ("packing", batched),
+]
 
 # The stages train a model and search fingerprints: not expressible in SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other over ``documents``."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = store(stage(spark, docs, sf_dir), name)

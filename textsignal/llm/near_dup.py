@@ -178,3 +178,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("fingerprint").alias("_f"), F.coalesce("component", "node").alias("component_id")
     )
     return prints.join(named, F.col("fingerprint") == F.col("_f"), "left").select(id_col, "fingerprint", "component_id")
+
+
+def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` whose id is the least of its near-duplicates; columns stay as they are.
+
+    Ids of representatives find their rows again by a join on ids; what meets texts is (id, fingerprint) rows.  Ids
+    that occur in several rows are rare and keep one row each, the first by text and fingerprint.  A row
+    with a null id stays unless its fingerprint is that of a row with an id; of several such rows with
+    equal texts one stays.
+    """
+    found = store(near_duplicates(docs, id_col, text_col, radius), "components")
+    twice = found.groupBy(id_col).count().filter("count > 1").select(F.col(id_col).alias("_id"))
+    kept = found.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_id")).distinct()
+    single = docs.join(kept.join(twice, "_id", "left_anti"), F.col(id_col) == F.col("_id"), "left_semi")
+    many = kept.join(twice, "_id", "left_semi")
+    if many.isEmpty() and found.filter(F.col(id_col).isNull()).isEmpty():
+        return single
+    repeated = docs.join(many, F.col(id_col) == F.col("_id"), "left_semi")
+    repeated = repeated.groupBy(id_col).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(text_col)).alias("_row"))
+    taken = store(found.filter(F.col(id_col).isNotNull()).select(F.col("fingerprint").alias("_f")).distinct(), "taken")
+    loose = docs.filter(F.col(id_col).isNull()).withColumn("_p", fingerprints(F.col(text_col)))
+    loose = loose.join(taken, F.col("_p") == F.col("_f"), "left_anti").dropDuplicates([text_col])
+    return single.union(repeated.select("_row.*")).union(loose.select(*docs.columns))
