@@ -28,7 +28,7 @@ def with_next(prints: DataFrame) -> DataFrame:
 
 @query("op3_simhash")
 def op3(t: Source) -> DataFrame:
-    """A row per row of documents; a null id has no next document: its text is edited by nothing."""
+    """A row per row of documents; a null id has no next document: its text stays as it is and ``near_next`` is 0."""
     docs = t("documents").select("doc_id", "text")
     places = store(with_next(store(fingerprint_table(docs), "fingerprints")), "next-documents")
     edited = fp.edited_texts(docs, places.filter("next_id IS NOT NULL"))

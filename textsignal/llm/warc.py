@@ -87,6 +87,7 @@ def write_archives(pages: DataFrame, folder: str, min_payload: int = 0, compress
     file appears under its final name when it is whole, so a task that is run again after a lost
     executor, or twice, replaces it by an equal one.  ``folder`` must be shared by all executors.
     """
+    opened(folder)  # an empty table makes an empty folder
     marks = first_pages(pages, min_payload).select(
         F.col("page_id").alias("_id"), F.col("digest").alias("_digest"), "refers_to"
     )
@@ -97,11 +98,9 @@ def write_archives(pages: DataFrame, folder: str, min_payload: int = 0, compress
     rows = rows.join(marks, same).select("page_id", "url", "payload", "refers_to")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pyarrow.fs
         from pyspark import TaskContext
 
-        fs, root = pyarrow.fs.FileSystem.from_uri(folder)
-        fs.create_dir(root, recursive=True)
+        fs, root = opened(folder)
         context = TaskContext.get()
         name = f"{root}/part-{context.partitionId():06d}"
         out, partial, number, written = None, "", 0, 0
@@ -129,6 +128,15 @@ def write_archives(pages: DataFrame, folder: str, min_payload: int = 0, compress
     return rows.mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
+def opened(folder: str):
+    """File system and path of a folder, which is made if need be."""
+    import pyarrow.fs
+
+    fs, root = pyarrow.fs.FileSystem.from_uri(folder)
+    fs.create_dir(root, recursive=True)
+    return fs, root
+
+
 def plain(value):
     return None if value is None or value != value else str(int(value)) if isinstance(value, float) else str(value)
 
