@@ -40,8 +40,9 @@ def describe_by(df: DataFrame, by: str, values: dict[str, Column]) -> DataFrame:
         F.sum(F.col("w") * F.col("v") * F.col("v")).alias("_s2"),
         s1.alias("_s1"),
     )
-    var = (F.col("_s2") - F.col("_s1") * F.col("_s1") / F.col("count")) / (F.col("count") - 1)
-    return moments.withColumn("std", F.sqrt(F.greatest(var, F.lit(0.0)))).drop("_s1", "_s2")
+    squares = F.col("_s2") - F.col("_s1") * F.col("_s1") / F.col("count")
+    var = F.when(F.col("count") > 1, squares / F.nullif(F.col("count") - 1, F.lit(0)))  # one row has no deviation
+    return moments.withColumn("std", F.when(F.col("count") > 1, F.sqrt(F.greatest(var, F.lit(0.0))))).drop("_s1", "_s2")
 
 
 def surface_means(df: DataFrame, by: str, text: str = "text") -> DataFrame:
@@ -141,7 +142,8 @@ def lexicon_histogram(df: DataFrame, by: str = "label", value: str = "lex_compou
     stats = df.groupBy(by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.avg(value).alias("mean"))
     rows = df.select(by, value).join(F.broadcast(stats), by)  # one row per class
     width = F.col("_hi") - F.col("_lo")
-    bin_id = F.least(F.floor((F.col(value) - F.col("_lo")) / width * bins), F.lit(bins - 1))
+    place = F.floor(F.try_divide(F.col(value) - F.col("_lo"), width) * bins)  # null if all scores are equal
+    bin_id = F.when(width > 0, F.least(place, F.lit(bins - 1)))
     return rows.groupBy(by, F.coalesce(bin_id, F.lit(0)).cast("int").alias("bin")).agg(
         F.count(F.lit(1)).alias("n"), F.max("mean").alias("mean")
     )
@@ -152,7 +154,7 @@ def lexicon_ambiguity(df: DataFrame, label_value: int, label: str = "label", val
     rows = df.filter(F.col(label) == label_value).select(lexicon_class(F.col(value), strict=True).alias("c"))
     n = F.count(F.lit(1))
     one = rows.agg(n.alias("total"), *[F.count_if(F.col("c") == k).alias(v) for k, v in ((1, "positive"), (0, "negative"), (2, "neutral"))])
-    pct = {f"{v}_pct": F.round(100 * F.col(v) / F.col("total"), 1) for v in ("positive", "negative", "neutral")}
+    pct = {f"{v}_pct": F.round(F.try_divide(100 * F.col(v), F.col("total")), 1) for v in ("positive", "negative", "neutral")}
     return one.withColumns(pct)
 
 

@@ -39,9 +39,12 @@ def equal_vote(probs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def weighted_vote(probs: DataFrame, weights: Weights, keys: list[str]) -> DataFrame:
-    """Weighted mean; models that are missing are left out of the divisor too."""
+    """Weighted mean; models that are missing are left out of the divisor too.
+
+    A document none of whose models has weight is left out.
+    """
     w = weight_column(weights)
-    rows = probs.select(*keys, *P, w.alias("_w")).filter("_w is not null")
+    rows = probs.select(*keys, *P, w.alias("_w")).filter("_w > 0")
     return rows.groupBy(*keys).agg(*[(F.sum(F.col("_w") * F.col(p)) / F.sum("_w")).alias(p) for p in P])
 
 
@@ -58,11 +61,11 @@ def vote_many(probs: DataFrame, configs: dict[str, Weights], keys: list[str]) ->
     wide = probs.groupBy(*keys).agg(*sums)
     out = [
         F.struct(
-            F.lit(name).alias("config"), *[(F.col(f"_{p}_{i}") / F.col(f"_w_{i}")).alias(p) for p in P]
+            F.lit(name).alias("config"), *[F.try_divide(f"_{p}_{i}", f"_w_{i}").alias(p) for p in P]
         )
         for i, name in enumerate(configs)
     ]
-    return wide.select(*keys, F.inline(F.array(*out)))
+    return wide.select(*keys, F.inline(F.array(*out))).filter("p0 IS NOT NULL")  # no model with weight: no vote
 
 
 def vote_scores(votes: DataFrame, by: list[str]) -> DataFrame:
@@ -103,11 +106,17 @@ def candidate_test(probs: DataFrame, base: Weights, candidate: str, keys: list[s
 
 # --- weight search ------------------------------------------------------------------
 def wide_probabilities(probs: DataFrame, models: list[str], keys: list[str]) -> DataFrame:
-    """One row per document with ``p<class>_<i>`` for model ``i``; incomplete documents are left out."""
+    """One row per document with ``p<class>_<i>`` for model ``i`` and ``has_<i>``, 1 if the model scored it, else 0.
+
+    What a model lacks counts as 0, and its weight is missing from the divisor.
+    """
     cols = [
-        F.max(F.when(F.col("model") == m, F.col(p))).alias(f"{p}_{i}") for i, m in enumerate(models) for p in P
+        F.coalesce(F.max(F.when(F.col("model") == m, F.col(p))), F.lit(0.0)).alias(f"{p}_{i}")
+        for i, m in enumerate(models)
+        for p in P
     ]
-    return probs.groupBy(*keys).agg(*cols).dropna()
+    has = [F.max((F.col("model") == m).cast("double")).alias(f"has_{i}") for i, m in enumerate(models)]
+    return probs.groupBy(*keys).agg(*cols, *has)
 
 
 def _trial_cells(wide: DataFrame, trials: list[list[float]]) -> list[dict]:
@@ -118,11 +127,12 @@ def _trial_cells(wide: DataFrame, trials: list[list[float]]) -> list[dict]:
         if total == 0:
             preds.append(F.lit(-1).alias(f"t{i}"))
             continue
+        there = sum((F.col(f"has_{j}") * F.lit(float(w)) for j, w in enumerate(ws) if w > 0), F.lit(0.0))
         votes = [
-            sum((F.col(f"{p}_{j}") * F.lit(float(w)) for j, w in enumerate(ws) if w > 0), F.lit(0.0)) / F.lit(total)
+            F.try_divide(sum((F.col(f"{p}_{j}") * F.lit(float(w)) for j, w in enumerate(ws) if w > 0), F.lit(0.0)), there)
             for p in P
         ]
-        preds.append(argmax3(*votes).alias(f"t{i}"))
+        preds.append(F.when(there > 0, argmax3(*votes)).otherwise(-1).alias(f"t{i}"))  # -1: no model with weight
     rows = wide.select("label", *preds)
     hit = lambda i, a, b: (F.col("label") == a) & (F.col(f"t{i}") == b)
     aggs = [
@@ -184,18 +194,21 @@ def keep_better_config(stored: DataFrame | None, found: DataFrame, gain: float =
     return found if found.agg(F.max("oof_f1_macro")).first()[0] > best + gain else stored
 
 
-def weight_configs(n_models: int, grid: list[float] = WEIGHT_GRID) -> np.ndarray:
-    """All grid weightings but the empty one, one per set of proportional weightings."""
+def weight_configs(n_models: int, grid: list[float] = WEIGHT_GRID, at: np.ndarray | None = None) -> np.ndarray:
+    """Grid weightings by number (all if ``at`` is None), in the order of their digits; a row each."""
+    base = len(grid)
+    at = np.arange(base**n_models) if at is None else at
+    digits = (at[:, None] // base ** np.arange(n_models - 1, -1, -1)) % base
+    return np.array(grid, dtype=float)[digits]
+
+
+def is_least(configs: np.ndarray, grid: list[float] = WEIGHT_GRID) -> np.ndarray:
+    """One weighting of every proportional set: the one whose steps have no common divisor; the empty one is none."""
     step = min(w for w in grid if w > 0)
-    out = []
-    for ws in itertools.product(grid, repeat=n_models):
-        ints = [round(w / step) for w in ws]
-        if math.gcd(*ints) == 1:
-            out.append(ws)
-    return np.array(out, dtype=float)
+    return np.gcd.reduce(np.rint(configs / step).astype(np.int64), axis=1) == 1
 
 
-MAX_CONFIG_CELLS = 20_000_000  # weights shipped to the tasks, 160 MB
+CONFIG_BLOCK = 4096  # weightings that one row of work stands for
 
 
 def weight_search(
@@ -203,44 +216,47 @@ def weight_search(
 ) -> DataFrame:
     """``(config, w_<model>..., f1_macro)`` for every subset and grid weighting.
 
-    Tasks multiply their documents with the weight matrix and send nine counts per
-    configuration; the counts are summed by configuration.
+    Weightings are never shipped: every document stands beside each number of a block of weightings, and the
+    task derives the weights from the number.  Nine counts per batch and configuration are summed.  A model that
+    lacks a document is left out of its divisor; a document no weighted model scored counts as not predicted.
     """
-    configs = weight_configs(len(models), grid)
-    if configs.size > MAX_CONFIG_CELLS:
-        raise ValueError(f"{len(configs)} configurations are too many to ship; use coordinate_ascent")
+    n = len(models)
+    blocks = -(-(len(grid) ** n) // CONFIG_BLOCK)
     wide = wide_probabilities(probs, models, keys)
-    shared = probs.sparkSession.sparkContext.broadcast(configs)
-    cols = [[f"{p}_{i}" for i in range(len(models))] for p in P]
+    work = wide.select("label", *[c for c in wide.columns if c[:1] in "ph" and "_" in c])
+    work = work.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    cols = [[f"{p}_{i}" for i in range(n)] for p in P]
+    has = [f"has_{i}" for i in range(n)]
     schema = T.StructType(
         [T.StructField("config", T.IntegerType())] + [T.StructField(c, T.LongType()) for c in CELLS]
     )
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        w = shared.value
-        cells = np.zeros((len(w), 9), dtype=np.int64)
-        for pdf in batches:
-            label = pdf["label"].to_numpy()
-            mats = [pdf[c].to_numpy() for c in cols]
-            for lo in range(0, len(w), chunk):
-                part = w[lo : lo + chunk]
-                votes = np.stack([m @ part.T for m in mats]) / part.sum(axis=1)
-                code = label[:, None] * 3 + votes.argmax(axis=0)
-                for k in range(9):
-                    cells[lo : lo + chunk, k] += (code == k).sum(axis=0)
-        out = pd.DataFrame(cells, columns=CELLS)
-        out.insert(0, "config", np.arange(len(w), dtype="int32"))
-        yield out
-
-    counted = wide.select("label", *[c for group in cols for c in group]).mapInPandas(count, schema)
+        for batch in batches:
+            for block, pdf in batch.groupby("block"):
+                first = int(block) * CONFIG_BLOCK
+                number = np.arange(first, min(first + CONFIG_BLOCK, len(grid) ** n))
+                w = weight_configs(n, grid, number)
+                keep = is_least(w, grid)
+                number, w = number[keep], w[keep]
+                label, there = pdf["label"].to_numpy(), pdf[has].to_numpy()
+                mats = [pdf[c].to_numpy() for c in cols]
+                for lo in range(0, len(w), chunk):
+                    part = w[lo : lo + chunk]
+                    weight = there @ part.T
+                    votes = np.stack([m @ part.T for m in mats]) / np.where(weight > 0, weight, 1)
+                    code = np.where(weight > 0, label[:, None] * 3 + votes.argmax(axis=0), -1)
+                    cells = np.stack([(code == k).sum(axis=0) for k in range(9)], axis=1)
+                    out = pd.DataFrame(cells, columns=CELLS)
+                    out.insert(0, "config", number[lo : lo + chunk].astype("int32"))
+                    yield out
+
+    counted = work.mapInPandas(count, schema)
     summed = counted.groupBy("config").agg(*[F.sum(c).alias(c) for c in CELLS])
-    lookup = probs.sparkSession.createDataFrame(
-        pd.DataFrame({"config": np.arange(len(configs), dtype="int32"), "_w": configs.tolist()})
-    )
-    named = summed.join(F.broadcast(lookup), "config")  # bounded by the check above
-    return named.select(
-        "config", *[F.col("_w")[i].alias(f"w_{m}") for i, m in enumerate(models)], macro_f1().alias("f1_macro")
-    )
+    base = len(grid)
+    values = F.array(*[F.lit(float(w)) for w in grid])
+    weight = [F.get(values, (F.floor(F.col("config") / base ** (n - 1 - i)) % base).cast("int")) for i in range(n)]
+    return summed.select("config", *[w.alias(f"w_{m}") for w, m in zip(weight, models)], macro_f1().alias("f1_macro"))
 
 
 # --- soft targets and losses --------------------------------------------------------

@@ -55,36 +55,23 @@ def decide(answered: DataFrame, tau: float, costs: list[float] = TOOL_COSTS) ->
         )
 
     lit = F.lit
+    a, b, e = TOOLS
     reason = choose(
-        F.format_string(
-            f"strong lexical signal (|compound|=%.2f > {tau}); VADER trusted directly", F.abs("compound")
-        ),
-        lit("weak signal; LightGBM unavailable, fell back to VADER"),
-        lit("VADER and LightGBM agree"),
-        lit("VADER/LightGBM disagree; FinBERT unavailable, trusted LightGBM"),
-        lit("VADER and LightGBM disagreed; the financial-Twitter domain expert broke the tie"),
+        F.format_string(f"signal %.3f above {tau}: {a} decides", F.abs("compound")),
+        lit(f"{b} gave no answer: {a} decides"),
+        lit(f"{a} and {b} gave one class"),
+        lit(f"{a} and {b} differ, {e} gave no answer: {b} decides"),
+        lit(f"{a} and {b} differ: {e} decides"),
     )
+
+    def step(tool: str, cls: str, what: str, value: str, cost: str):
+        return F.format_string(f"{tool}: %s, {what} %.3f, {cost}", class_name(F.col(cls)), F.col(value))
+
     trace = F.array_compact(
         F.array(
-            F.format_string(
-                f"VADER baseline -> %s (compound=%+.3f, {_ms(costs[0], 1)})", class_name(F.col("v")), F.col("compound")
-            ),
-            F.when(
-                ~strong & ~no_b,
-                F.format_string(
-                    f"weak signal -> LightGBM+SBERT -> %s (conf=%.2f, {_ms(costs[1], 0)})",
-                    class_name(F.col("b")),
-                    F.col("b_conf"),
-                ),
-            ),
-            F.when(
-                asked_e & ~no_e,
-                F.format_string(
-                    f"disagreement -> FinBERT-fintwitter expert -> %s (conf=%.2f, {_ms(costs[2], 0)})",
-                    class_name(F.col("e")),
-                    F.col("e_conf"),
-                ),
-            ),
+            step(a, "v", "signal", "compound", _ms(costs[0], 1)),
+            F.when(~strong & ~no_b, step(b, "b", "certainty", "b_conf", _ms(costs[1], 0))),
+            F.when(asked_e & ~no_e, step(e, "e", "certainty", "e_conf", _ms(costs[2], 0))),
         )
     )
     c0, c1, c2 = costs
@@ -210,11 +197,11 @@ def economics(routed: DataFrame, costs: list[float] = TOOL_COSTS) -> DataFrame:
 
 
 def compare_tools(answered: DataFrame, id_col: str) -> DataFrame:
-    """``(id, tool, answer, agreement)``: all tools side by side; no answer counts as ``error``."""
-    names = [F.coalesce(class_name(F.col(c)), F.lit("error")) for c in ("v", "b", "e")]
+    """``(id, tool, answer, agreement)``: all tools side by side; no answer counts as ``none``."""
+    names = [F.coalesce(class_name(F.col(c)), F.lit("none")) for c in ("v", "b", "e")]
     same = (names[0] == names[1]) & (names[1] == names[2])
     rows = F.array(*[F.struct(F.lit(t).alias("tool"), n.alias("answer")) for t, n in zip(TOOLS, names)])
-    verdict = F.when(same, "all tools AGREE").otherwise("tools DISAGREE")
+    verdict = F.when(same, "one class").otherwise("several classes")
     return answered.select(id_col, verdict.alias("agreement"), F.inline(rows))
 
 
@@ -225,21 +212,14 @@ def tool_costs(routed: DataFrame) -> DataFrame:
 
 # --- text for people ----------------------------------------------------------------
 def explain_rows(routed: DataFrame) -> Column:
-    """Numbered trace, verdict and reason in one string."""
-    steps = F.array_join(
-        F.transform("trace", lambda x, i: F.concat(F.lit("  "), (i + 1).cast("string"), F.lit(". "), x)), "\n"
-    )
-    return F.concat(
-        F.lit("Reasoning trace:\n"),
-        steps,
-        F.format_string("\nFINAL VERDICT: %s (class=%d) via %s [%.0f ms total]", "verdict", "final", "tool", "cost"),
-        F.lit("\nWhy: "),
-        F.col("reason"),
-    )
+    """Numbered trace, result and reason in one string."""
+    steps = F.array_join(F.transform("trace", lambda x, i: F.concat((i + 1).cast("string"), F.lit(") "), x)), "\n")
+    result = F.format_string("\n= %s (%d) by %s, %.0f ms\n", "verdict", "final", "tool", "cost")
+    return F.concat(steps, result, F.col("reason"))
 
 
 def tool_line(name: str, cls: Column, *probs: Column) -> Column:
-    """``Bullish (1) - confidence=...`` or the error text of a tool without an answer."""
-    shares = ", ".join(f"{CLASS_NAMES[i]}=%.3f" for i in range(3))
-    text = F.format_string(f"%s (%d) - confidence=%.3f [{shares}]", class_name(cls), cls, F.greatest(*probs), *probs)
-    return F.when(cls.isNull(), F.lit(f"{name} classification error")).otherwise(text)
+    """Class, certainty and all probabilities, or a note that the tool gave no answer."""
+    shares = ", ".join(f"{CLASS_NAMES[i]} %.3f" for i in range(3))
+    text = F.format_string(f"%s (%d), certainty %.3f of {shares}", class_name(cls), cls, F.greatest(*probs), *probs)
+    return F.when(cls.isNull(), F.lit(f"{name}: no answer")).otherwise(text)

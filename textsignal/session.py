@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -27,18 +28,18 @@ def build_session(app: str = "textsignal", master: str | None = None, **conf: st
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables.
+    """Shared folder for intermediate tables, named in ``spark.checkpoint.dir``.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
-    (local tests) is a new temporary folder made and remembered in the session.
+    Only a session of one machine may do without: it gets a new temporary folder, remembered in the session.
+    Elsewhere every executor would write to a disk of its own, so a missing setting is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("textsignal.scratch.dir", None)
     if root:
         return root
-    root = spark.conf.get("textsignal.scratch.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="textsignal-")
-        spark.conf.set("textsignal.scratch.dir", root)
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    root = tempfile.mkdtemp(prefix="textsignal-")
+    spark.conf.set("textsignal.scratch.dir", root)
     return root
 
 

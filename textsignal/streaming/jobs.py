@@ -16,15 +16,14 @@ from textsignal.constants import TOOLS
 from textsignal.session import scratch_path
 
 
-def read_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Stream of the parquet files named ``name`` in a folder."""
-    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .option("maxFilesPerTrigger", 64)
-        .parquet(folder)
-    )
+def read_stream(spark: SparkSession, folder: str, name: str, files: int = 64) -> DataFrame:
+    """Stream of the files of table ``name``: one file, or a folder of part files; ``files`` per micro-batch."""
+    path = f"{folder}/{name}.parquet"
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory():
+        return stream.parquet(path)
+    return stream.option("pathGlobFilter", f"{name}.parquet").parquet(folder)  # a stream starts from a folder
 
 
 def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
@@ -84,23 +83,31 @@ def _merge_session(state: tuple, chunks: Iterator[pd.DataFrame]) -> tuple:
     return n, by_tool, by_label, list(last), list(last.values())
 
 
-def session_state(routed: DataFrame, session: str) -> DataFrame:
+def session_state(routed: DataFrame, session: str, idle_hours: float | None = None) -> DataFrame:
     """Counters and the last turns of each session, emitted whenever it changes.
 
-    ``routed`` is a stream with ``session, turn, final, tool``.
+    ``routed`` is a stream with ``session, turn, final, tool``.  With ``idle_hours`` the state of a
+    session that got nothing for so long is dropped; what it had emitted stays.  A clock keeps
+    a query alive, so a run that ends with its input (``run_to_table``) takes no ``idle_hours``.
     """
     out = T.StructType([routed.schema[session], *STATE.fields])
+    timeout = GroupStateTimeout.NoTimeout if idle_hours is None else GroupStateTimeout.ProcessingTimeTimeout
 
     def update(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         old = state.get if state.exists else (0, [0] * len(TOOLS), [0] * 3, [], [])
         new = _merge_session(tuple(old), chunks)
         state.update(new)
+        if idle_hours is not None:
+            state.setTimeoutDuration(int(idle_hours * 3_600_000))
         yield pd.DataFrame([[key[0], *new]], columns=[f.name for f in out.fields])
 
     return (
         routed.select(session, "turn", "final", "tool")
         .groupBy(session)
-        .applyInPandasWithState(update, out, STATE, "update", GroupStateTimeout.NoTimeout)
+        .applyInPandasWithState(update, out, STATE, "update", timeout)
     )
 
 
