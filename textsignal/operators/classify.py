@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import pandas as pd
 from pyspark.ml import Estimator
@@ -26,9 +27,9 @@ from textsignal.constants import SEED
 from textsignal.functions.hashing import uniform
 from textsignal.functions.proba import argmax3
 from textsignal.operators.metrics import CELLS, confusion_cells, macro_f1, metric_record, overall_scores, score
-from textsignal.operators.sparse import bag_of_words, corpus_size, fit_vocabulary
+from textsignal.operators.sparse import read_vectors
+from textsignal.operators.split import top_per_group
 from textsignal.session import scratch_path
-from textsignal.sources.writers import materialise
 
 P = ["p0", "p1", "p2"]
 
@@ -51,55 +52,54 @@ def random_baseline(train: DataFrame, test: DataFrame, id_col: str = "doc_id", s
     return rows.withColumn("pred", pred).drop("_s", "_u")
 
 
-def fit_naive_bayes(
-    counts: DataFrame, labels: DataFrame, vocabulary: DataFrame, alpha: float, complement: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """Binary-feature naive Bayes: per-term log scores (one row per vocabulary term)
-    and a one-row table of class priors."""
-    seen = bag_of_words(counts, vocabulary).join(labels.select("doc_id", "label"), "doc_id")
+def naive_bayes_folds(
+    counts: DataFrame, rows: DataFrame, k: int, alpha: float, complement: bool = False, max_features: int = 20000
+) -> DataFrame:
+    """``(doc_id, label, s0, s1, s2, pred)``: binary-feature naive Bayes, every row scored by the model of the other folds.
+
+    Terms are counted once per (term, fold, class); what a fold's model has seen is the total minus the fold's own
+    counts, its vocabulary too.  Rows without a known term get the prior.
+    """
+    seen = stored(counts.select("doc_id", "term").join(rows.select("doc_id", "label", "fold"), "doc_id"), "nb-terms")
     hits = [F.count_if(F.col("label") == c).alias(f"n{c}") for c in range(3)]
-    per_term = seen.groupBy("term").agg(*hits)
-    if complement:
-        per_term = per_term.select("term", *[(F.col("n0") + F.col("n1") + F.col("n2") - F.col(f"n{c}")).alias(f"n{c}") for c in range(3)])
-    totals = per_term.agg(F.struct(F.count(F.lit(1)).alias("v"), *[F.sum(f"n{c}").alias(f"t{c}") for c in range(3)]).alias("t"))
-    sized = per_term.withColumn("_t", totals.scalar())
+    cells = seen.groupBy("term", "fold").agg(*hits)
+    every = cells.groupBy("term").agg(
+        *[F.sum(f"n{c}").alias(f"t{c}") for c in range(3)],
+        F.map_from_entries(F.collect_list(F.struct("fold", F.struct("n0", "n1", "n2")))).alias("own"),  # k entries
+    )
+    per_fold = every.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+    own = F.try_element_at("own", F.col("fold"))
+    left = [(F.col(f"t{c}") - F.coalesce(own[f"n{c}"], F.lit(0))).alias(f"n{c}") for c in range(3)]
+    known = per_fold.select("fold", "term", *left).withColumn("df", F.col("n0") + F.col("n1") + F.col("n2")).filter("df >= 2")
+    vocabulary = top_per_group(known, ["fold"], [F.desc("df"), "term"], max_features, ["term"])
+    m = [(F.col("df") - F.col(f"n{c}")) if complement else F.col(f"n{c}") for c in range(3)]
+    vocabulary = stored(vocabulary.select("fold", "term", *[x.alias(f"m{c}") for c, x in enumerate(m)]), "nb-vocabulary")
+    totals = vocabulary.groupBy("fold").agg(F.count(F.lit(1)).alias("v"), *[F.sum(f"m{c}").alias(f"s{c}") for c in range(3)])
 
     def weight(c: int):
-        w = F.log((F.col(f"n{c}") + F.lit(alpha)) / (F.col(f"_t.t{c}") + F.lit(alpha) * F.col("_t.v")))
+        w = F.log((F.col(f"m{c}") + F.lit(alpha)) / (F.col(f"s{c}") + F.lit(alpha) * F.col("v")))
         return (-w if complement else w).alias(f"w{c}")
 
-    prior = labels.agg(
-        F.struct(
-            *[
-                (F.lit(0.0) if complement else F.log(F.avg((F.col("label") == c).cast("double")))).alias(f"b{c}")
-                for c in range(3)
-            ]
-        ).alias("b")
-    )
-    return sized.select("term", *[weight(c) for c in range(3)]), prior
-
-
-def score_naive_bayes(counts: DataFrame, rows: DataFrame, weights: DataFrame, prior: DataFrame) -> DataFrame:
-    """``(doc_id, label, s0, s1, s2, pred)``; rows without a known term get the prior."""
-    sums = (
-        counts.join(F.broadcast(weights), "term")  # one row per vocabulary term
-        .groupBy("doc_id")
-        .agg(*[F.sum(f"w{c}").alias(f"w{c}") for c in range(3)])
-    )
-    scored = rows.select("doc_id", "label").join(sums, "doc_id", "left").withColumn("_b", prior.scalar())
-    s = [(F.col(f"_b.b{c}") + F.coalesce(f"w{c}", F.lit(0.0))) for c in range(3)]
+    weights = vocabulary.join(F.broadcast(totals), "fold").select("fold", "term", *[weight(c) for c in range(3)])
+    sums = seen.join(F.broadcast(weights), ["fold", "term"])  # folds x max_features rows at most
+    sums = sums.groupBy("doc_id").agg(*[F.sum(f"w{c}").alias(f"w{c}") for c in range(3)])
+
+    sizes = rows.groupBy("fold").agg(*hits)
+    all_rows = sizes.agg(F.struct(*[F.sum(f"n{c}").alias(f"a{c}") for c in range(3)]).alias("a"))
+    rest = sizes.withColumn("_a", all_rows.scalar())
+    rest = rest.select("fold", *[(F.col(f"_a.a{c}") - F.col(f"n{c}")).alias(f"r{c}") for c in range(3)])
+    total = F.col("r0") + F.col("r1") + F.col("r2")
+    prior = rest.select("fold", *[(F.lit(0.0) if complement else F.log(F.col(f"r{c}") / total)).alias(f"b{c}") for c in range(3)])
+    scored = rows.select("doc_id", "label", "fold").join(F.broadcast(prior), "fold").join(sums, "doc_id", "left")
+    s = [F.col(f"b{c}") + F.coalesce(f"w{c}", F.lit(0.0)) for c in range(3)]
     out = scored.select("doc_id", "label", *[x.alias(f"s{c}") for c, x in enumerate(s)])
-    r = [F.round(f"s{c}", 9) for c in range(3)]
-    return out.withColumn("pred", argmax3(*r))
+    return out.withColumn("pred", argmax3(*[F.round(f"s{c}", 9) for c in range(3)]))
 
 
-def naive_bayes_split(counts: DataFrame, rows: DataFrame, test_fold: int, alpha: float, complement: bool = False) -> DataFrame:
-    """Fit on the other folds (vocabulary too) and score ``test_fold``."""
-    train, test = rows.filter(F.col("fold") != test_fold), rows.filter(F.col("fold") == test_fold)
-    mine = counts.join(train.select("doc_id"), "doc_id", "left_semi")
-    vocabulary = fit_vocabulary(mine, corpus_size(train), 20000, min_df=2, binary=True)
-    weights, prior = fit_naive_bayes(mine, train, vocabulary, alpha, complement)
-    return score_naive_bayes(counts.join(test.select("doc_id"), "doc_id", "left_semi"), test, weights, prior)
+def every_fold(rows: DataFrame, k: int, run: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """``run(train, test)`` of each of ``k`` folds in one table, so every row is scored once."""
+    parts = [run(rows.filter(F.col("fold") != f), rows.filter(F.col("fold") == f)) for f in range(k)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- MLlib estimators -------------------------------------------------------------------
@@ -108,10 +108,10 @@ def make_estimator(kind: str, n_rows: int = 1, weight_col: str | None = None, **
     weighted = {"weightCol": weight_col} if weight_col else {}
     if kind == "logistic":
         reg = 1.0 / (params.pop("C", 1.0) * max(n_rows, 1))
-        return LogisticRegression(family="multinomial", regParam=reg, **weighted, **params)
+        return LogisticRegression(family="multinomial", regParam=reg, standardization=False, **weighted, **params)
     if kind == "svm":
         reg = 1.0 / (params.pop("C", 1.0) * max(n_rows, 1))
-        return OneVsRest(classifier=LinearSVC(regParam=reg, **params), **weighted)
+        return OneVsRest(classifier=LinearSVC(regParam=reg, standardization=False, **params), parallelism=3, **weighted)
     if kind == "naive_bayes":
         return NaiveBayes(smoothing=params.pop("alpha", 1.0), **weighted, **params)
     if kind == "mlp":
@@ -119,7 +119,7 @@ def make_estimator(kind: str, n_rows: int = 1, weight_col: str | None = None, **
     if kind == "forest":
         return RandomForestClassifier(seed=SEED, **weighted, **params)
     if kind == "boosted":
-        return OneVsRest(classifier=GBTClassifier(seed=SEED, **params), **weighted)
+        return OneVsRest(classifier=GBTClassifier(seed=SEED, **params), parallelism=3, **weighted)
     raise ValueError(f"unknown estimator {kind!r}")
 
 
@@ -142,27 +142,41 @@ Featurise = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Written once and read back: fitting passes over its input many times."""
-    spark = df.sparkSession
-    return materialise(spark, scratch_path(spark, name), lambda: df)
+    path = scratch_path(df.sparkSession, name)
+    plain = isinstance(df.schema["features"].dataType, T.StructType) if "features" in df.columns else False
+    df.write.parquet(path)
+    return read_vectors(df.sparkSession, path) if plain else df.sparkSession.read.parquet(path)
 
 
 def as_is(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
     return train, test
 
 
+class FoldFeatures:
+    """Features of every fold, built and stored once however many settings are tried on them."""
+
+    def __init__(self, featurise: Featurise):
+        self.featurise, self.made = featurise, {}
+
+    def of(self, fold: int, train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
+        if fold not in self.made:
+            self.made[fold] = tuple(stored(part, f"fold-{fold}") for part in self.featurise(train, test))
+        return self.made[fold]
+
+
 def cross_validate(
     rows: DataFrame,
-    make: Callable[[], Estimator],
+    make: Callable[[int], Estimator],
     name: str,
     k: int,
     featurise: Featurise = as_is,
     prepare_train: Callable[[DataFrame], DataFrame] | None = None,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> tuple[DataFrame, DataFrame]:
     """Out-of-fold table and flat metric record of one model.
 
-    ``rows`` has ``doc_id, label, fold``.  Features are built inside the fold from
-    its training rows.  Test predictions of each fold are appended to a stored
+    ``rows`` has ``doc_id, label, fold``; ``make`` gets the number of training rows of the fold.  Features are
+    built inside the fold from its training rows.  Test predictions of each fold are appended to a stored
     table; of the training predictions only the nine counts are kept.
     """
     spark, started = rows.sparkSession, time.time()
@@ -171,11 +185,13 @@ def cross_validate(
 
     def run(fold: int) -> dict:
         train, test = rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold)
-        if featurise is not as_is:
+        if isinstance(featurise, FoldFeatures):
+            train, test = featurise.of(fold, train, test)
+        elif featurise is not as_is:
             train, test = (stored(part, f"fold-{name}") for part in featurise(train, test))
         if prepare_train:
             train = stored(prepare_train(train), f"train-{name}")
-        model = make().fit(train)
+        model = make(train.count()).fit(train)
         got = with_probabilities(model.transform(test)).select("doc_id", "label", F.lit(fold).alias("fold"), *P, "pred")
         got.write.mode("overwrite").parquet(f"{path}/part={fold}")
         cells = confusion_cells(with_probabilities(model.transform(train)), []).first().asDict()
@@ -207,15 +223,25 @@ def platt_calibrate(margins: DataFrame, margin_col: str = "rawPrediction") -> Da
     return out.withColumn("pred", argmax3(*[F.col(p) for p in P])).drop(*[f"_s{c}" for c in range(3)], "m0", "m1", "m2")
 
 
-def oof_margins(rows: DataFrame, make: Callable[[], Estimator], k: int) -> DataFrame:
-    """Stored out-of-fold ``rawPrediction`` of every row."""
+def oof_margins(
+    rows: DataFrame, make: Callable[[int], Estimator], k: int, featurise: Featurise = as_is, parallelism: int = 4
+) -> DataFrame:
+    """Stored out-of-fold ``rawPrediction`` of every row; features are built inside the fold."""
     spark = rows.sparkSession
     path = scratch_path(spark, "margins")
     rows = stored(rows, "margin-rows")
-    for fold in range(k):
-        model = make().fit(rows.filter(F.col("fold") != fold))
-        got = model.transform(rows.filter(F.col("fold") == fold)).select("doc_id", "label", "rawPrediction")
+
+    def run(fold: int) -> None:
+        train, test = rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold)
+        if isinstance(featurise, FoldFeatures):
+            train, test = featurise.of(fold, train, test)
+        elif featurise is not as_is:
+            train, test = (stored(part, "margin-fold") for part in featurise(train, test))
+        got = make(train.count()).fit(train).transform(test).select("doc_id", "label", "fold", "rawPrediction")
         got.write.mode("overwrite").parquet(f"{path}/part={fold}")
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        list(pool.map(run, range(k)))
     return spark.read.parquet(path).drop("part")
 
 
@@ -279,7 +305,7 @@ def stack(probs: DataFrame, models: list[str], keys: list[str], k: int, name: st
     table = meta_table(probs, models, keys)
     cols = [F.coalesce(F.col(f"{m}_{p}"), F.lit(0.0)) for m in models for p in P]
     rows = table.select(*keys, array_to_vector(F.array(*cols)).alias("features"))
-    return cross_validate(rows, lambda: LogisticRegression(regParam=0.01), name, k)
+    return cross_validate(rows, lambda n: LogisticRegression(regParam=0.01), name, k)
 
 
 def compare_variants(records: dict[str, DataFrame], base: str) -> DataFrame:

@@ -6,18 +6,29 @@ than ``max_features``, which is what makes broadcasting it safe.
 
 from __future__ import annotations
 
-from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from textsignal.functions.clean import words
 from textsignal.operators.joins import place_by
 from textsignal.operators.split import head_per_group, top_per_group
+from textsignal.session import scratch_path
 
 # --- fixed values: token patterns ---------------------------------------------------
 WORD_TOKEN = r"(?<![\p{L}\p{N}_])[\p{L}\p{N}_]{2,}"
 ALPHA_TOKEN = r"(?<![\p{L}\p{N}_])[a-zA-Z][a-zA-Z]+(?![\p{L}\p{N}_])"
 
 
+# --- fixed values: vectoriser presets -------------------------------------------------
+PRESETS = {
+    "unigram": dict(max_features=20000, min_df=2, max_df=0.8),
+    "bigram": dict(max_features=50000, min_df=2, max_df=0.8),
+    "char": dict(max_features=30000),
+    "ablation": dict(max_features=10000),
+    "binary": dict(max_features=20000, min_df=2, binary=True),
+}
+
+
 def word_tokens(text: Column, pattern: str = WORD_TOKEN) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
 
@@ -92,11 +103,23 @@ def fit_vocabulary(
     )
     sized = per_term.withColumn("_n", n_docs.scalar())
     kept = sized.filter((F.col("df") >= min_df) & (F.col("df") <= F.col("_n") * F.lit(float(max_df))))
-    top = kept.orderBy(F.desc("total"), "term").limit(max_features)
+    top = most_frequent(kept, max_features)
     idf = F.log((1 + F.col("_n")) / (1 + F.col("df"))) + 1
     return top.select("term", "df", "total", idf.alias("idf"))
 
 
+def most_frequent(terms: DataFrame, n: int, salts: int = 64) -> DataFrame:
+    """The ``n`` greatest by total, ties by term.
+
+    Each salt keeps its own head first, so whatever the number of partitions the last sort
+    sees ``salts * n`` rows at most.
+    """
+    salt = F.pmod(F.xxhash64("term"), F.lit(salts))
+    order = [F.desc("total"), F.col("term")]
+    head = terms.withColumn("_r", F.row_number().over(Window.partitionBy(salt).orderBy(*order))).filter(F.col("_r") <= n)
+    return head.drop("_r").orderBy(*order).limit(n)
+
+
 def corpus_size(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
@@ -118,21 +141,23 @@ def tfidf(
     return raw.select(id_col, "term", (F.col("_w") / norm).alias("weight"))
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Term counts are read by the vocabulary, by the weights and by the corpus size: written once, read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def fit_counts(df: DataFrame, kind: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    if kind == "char":
+        return char_term_counts(df, id_col, text_col)
+    return word_term_counts(df, id_col, text_col, bigrams=kind == "bigram")
+
+
 def fit_tfidf(df: DataFrame, kind: str, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``(counts, vocabulary)`` with the presets of the four published vectorisers."""
-    # --- fixed values: vectoriser presets ---
-    presets = {
-        "unigram": dict(max_features=20000, min_df=2, max_df=0.8),
-        "bigram": dict(max_features=50000, min_df=2, max_df=0.8),
-        "char": dict(max_features=30000),
-        "ablation": dict(max_features=10000),
-        "binary": dict(max_features=20000, min_df=2, binary=True),
-    }
-    if kind == "char":
-        counts = char_term_counts(df, id_col, text_col)
-    else:
-        counts = word_term_counts(df, id_col, text_col, bigrams=kind == "bigram")
-    return counts, fit_vocabulary(counts, corpus_size(df), **presets[kind])
+    counts = stored(fit_counts(df, kind, id_col, text_col), f"counts-{kind}")
+    return counts, fit_vocabulary(counts, corpus_size(df), **PRESETS[kind])
 
 
 def top_terms_per_class(
@@ -149,6 +174,7 @@ def top_terms_per_class(
     counts = word_term_counts(
         df, id_col, text_col, bigrams=True, pattern=ALPHA_TOKEN, stop_words=stop_words, keep=[label_col]
     )
+    counts = stored(counts, "counts-per-class")
     sizes = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n"))
     per_term = counts.groupBy(label_col, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
     kept = per_term.join(F.broadcast(sizes), label_col).filter(F.col("df") <= F.col("_n") * max_df)
@@ -172,15 +198,28 @@ def top_words_per_class(df: DataFrame, k: int = 80, label_col: str = "label", te
     return head_per_group(counts, [label_col], [F.desc("n"), "word"], k)
 
 
-@F.udf(VectorUDT())
-def _pack(size, pairs):
-    pairs = sorted((int(i), float(w)) for i, w in pairs)
-    return SparseVector(int(size), [i for i, _ in pairs], [w for _, w in pairs])
-
+def to_sparse_vectors(
+    rows: DataFrame, weights: DataFrame, vocabulary: DataFrame, max_features: int, id_col: str = "doc_id"
+) -> DataFrame:
+    """``rows`` with ``features`` in the stored form of MLlib's sparse vectors: terms numbered in alphabetical order.
 
-def to_sparse_vectors(weights: DataFrame, vocabulary: DataFrame, max_features: int, id_col: str = "doc_id") -> DataFrame:
-    """``(id, features)`` for MLlib: terms numbered in alphabetical order."""
+    Rows without a known term get a vector of zeros.  ``read_vectors`` turns the stored form into vectors, so
+    none of the work leaves the JVM.
+    """
     index = vocabulary.select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("_i"))
-    cells = weights.join(F.broadcast(index), "term")
-    packed = cells.groupBy(id_col).agg(F.collect_list(F.struct("_i", "weight")).alias("_cells"))
-    return packed.select(id_col, _pack(F.lit(max_features), "_cells").alias("features"))
+    cells = weights.join(F.broadcast(index), "term")  # at most max_features rows
+    packed = cells.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("_i", "weight"))).alias("_cells"))
+    packed = rows.join(packed, id_col, "left")
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(max_features).alias("size"),
+        F.coalesce(F.col("_cells._i"), F.array().cast("array<int>")).alias("indices"),
+        F.coalesce(F.col("_cells.weight"), F.array().cast("array<double>")).alias("values"),
+    )
+    return packed.withColumn("features", vector).drop("_cells")
+
+
+def read_vectors(spark, path: str) -> DataFrame:
+    """The table at ``path`` with ``features`` as vectors."""
+    fields = [T.StructField(f.name, VectorUDT() if f.name == "features" else f.dataType) for f in spark.read.parquet(path).schema]
+    return spark.read.schema(T.StructType(fields)).parquet(path)

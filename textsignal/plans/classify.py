@@ -1,109 +1,150 @@
 """Registered queries: classifiers, model selection, stacking."""
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
+from functools import reduce
+
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from textsignal.constants import SEED
 from textsignal.functions import surface
-from textsignal.functions.clean import cashtag_variant, fix_text
+from textsignal.functions.clean import fix_text
 from textsignal.functions.proba import map_model_label
 from textsignal.operators import classify as cl
 from textsignal.operators import sparse as sp
 from textsignal.operators.dense import smote
 from textsignal.operators.ensemble import equal_vote
-from textsignal.operators.features import SURFACE_COLUMNS, standardise
+from textsignal.operators.features import SURFACE_COLUMNS
 from textsignal.operators.split import stratified_folds, with_class_weights
 from textsignal.operators.stats import rank_sum_auc
+from textsignal.operators.tokens import full_pipeline
 from textsignal.plans.evaluation import preds, rounded
 from textsignal.plans.registry import query
-from textsignal.plans.views import sql_uniform
+from textsignal.plans.views import N_FOLDS, sql_uniform
 
-K = 3
-MAX_TERMS = 2000
+K = 5
+# The folds of the G queries as (doc_id, label, fold): ranks are dealt in turn, so ten folds make five.
+FOLDS5 = f"SELECT doc_id, label, fold % {K} AS fold FROM folds"
 
 
-def rows3(t) -> DataFrame:
-    """Labelled texts with three folds."""
+def text_rows(t) -> DataFrame:
+    """Labelled texts with folds."""
     return stratified_folds(t.social_gold, "doc_id", "label", K)
 
 
-def surface_rows(t) -> DataFrame:
-    """Standardised surface features as vectors, with folds and class weights."""
+def surface_table(rows: DataFrame) -> DataFrame:
     cols = surface.surface_columns(F.col("text"))
-    base = rows3(t).select("doc_id", "label", "fold", *[cols[c].cast("double").alias(c) for c in SURFACE_COLUMNS])
-    scaled = standardise(base, SURFACE_COLUMNS)
-    packed = scaled.select("doc_id", "label", "fold", array_to_vector(F.array(*SURFACE_COLUMNS)).alias("features"))
-    return with_class_weights(packed, "label")
+    return rows.select("doc_id", "label", "fold", *[cols[c].cast("double").alias(c) for c in SURFACE_COLUMNS])
+
+
+def vector_rows(t) -> DataFrame:
+    """The given dense vectors with three classes and folds."""
+    rows = t.read("embeddings").select(
+        F.col("vec_id").alias("doc_id"), (F.col("label") % 3).cast("int").alias("label"), array_to_vector("embedding").alias("features")
+    )
+    return stratified_folds(rows, "doc_id", "label", K)
 
 
-def tfidf_features(train: DataFrame, test: DataFrame, bigrams: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Vocabulary and idf from the training rows only."""
-    counts = sp.word_term_counts(train, bigrams=bigrams)
-    vocab = sp.fit_vocabulary(counts, sp.corpus_size(train), MAX_TERMS, min_df=2, max_df=0.8)
+def weighted(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Class weights of the training rows."""
+    return with_class_weights(train, "label"), test.withColumn("weight", F.lit(1.0))
+
+
+def scaled_surface(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Surface columns scaled by the training rows' moments; columns that are constant there become 0."""
+    moments = train.agg(
+        F.struct(
+            *[F.avg(c).alias(f"m_{c}") for c in SURFACE_COLUMNS], *[F.stddev_pop(c).alias(f"s_{c}") for c in SURFACE_COLUMNS]
+        ).alias("m")
+    )
 
     def build(rows: DataFrame) -> DataFrame:
-        w = sp.tfidf(sp.word_term_counts(rows, bigrams=bigrams), vocab)
-        vectors = sp.to_sparse_vectors(w, vocab, MAX_TERMS)
-        return with_class_weights(rows.select("doc_id", "label", "fold"), "label").join(vectors, "doc_id")
+        m = F.col("_m")
+        scaled = [F.coalesce(F.try_divide(F.col(c) - m[f"m_{c}"], m[f"s_{c}"]), F.lit(0.0)) for c in SURFACE_COLUMNS]
+        out = rows.withColumn("_m", moments.scalar()).withColumn("features", array_to_vector(F.array(*scaled)))
+        return out.drop("_m", *SURFACE_COLUMNS)
 
-    return build(train), build(test)
+    return weighted(build(train), build(test))
 
 
-def check(oof: DataFrame) -> DataFrame:
-    """What can be said without an oracle: every row once, probabilities sum to one."""
-    total = F.col("p0") + F.col("p1") + F.col("p2")
-    return oof.select("doc_id", "label", "fold", "pred", F.round(total, 6).alias("p_sum"))
+def tfidf_features(preset: str):
+    """Vocabulary and idf from the training rows only, in a published preset; every row gets a vector."""
 
+    def featurise(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
+        size = sp.PRESETS[preset]["max_features"]
+        counts, vocab = sp.fit_tfidf(train, preset)
 
-TRAIN_TEST = "tr AS (SELECT * FROM folds WHERE fold <> 0), te AS (SELECT * FROM folds WHERE fold = 0)"
+        def build(rows: DataFrame, counts: DataFrame) -> DataFrame:
+            w = sp.tfidf(counts, vocab)
+            return sp.to_sparse_vectors(rows.select("doc_id", "label", "fold"), w, vocab, size)
 
+        return weighted(build(train, counts), build(test, sp.fit_counts(test, preset)))
 
-def split0(t):
-    f = t.folds
-    return f.filter("fold <> 0"), f.filter("fold = 0")
+    return featurise
+
+
+def check(oof: DataFrame, *more: str) -> DataFrame:
+    """Every row once, probabilities that sum to one, a class that has the greatest of them."""
+    p = [F.col(f"p{i}") for i in range(3)]
+    total = p[0] + p[1] + p[2]
+    own = F.get(F.array(*p), F.col("pred"))
+    return oof.select("doc_id", *more, "label", "fold", F.round(total, 6).alias("p_sum"), (own == F.greatest(*p)).alias("is_top"))
+
+
+def sql_check(source: str, more: str = "") -> str:
+    return f"SELECT doc_id, {more} label, fold, 1.0::DOUBLE AS p_sum, TRUE AS is_top FROM ({source})"
+
+
+EMBEDDED = f"""SELECT doc_id, label, ((row_number() OVER (PARTITION BY label ORDER BY md5('{SEED}|' || doc_id), doc_id) - 1) % {K})::INT AS fold
+  FROM (SELECT vec_id AS doc_id, label % 3 AS label FROM embeddings)"""
 
 
 @query(
     "g01_majority",
-    f"WITH {TRAIN_TEST} SELECT doc_id, label, (SELECT label FROM tr GROUP BY label ORDER BY count(*) DESC, label LIMIT 1) AS pred FROM te",
+    """WITH n AS (SELECT f, label, count(*) AS n FROM folds, (SELECT DISTINCT fold AS f FROM folds) WHERE fold <> f GROUP BY ALL),
+    m AS (SELECT f AS fold, label AS pred FROM n QUALIFY row_number() OVER (PARTITION BY f ORDER BY n DESC, label) = 1)
+    SELECT doc_id, label, fold, pred FROM folds JOIN m USING (fold)""",
     "folds",
 )
 def g01(t):
-    return cl.majority_baseline(*split0(t)).select("doc_id", "label", "pred")
+    return cl.every_fold(t.folds, N_FOLDS, cl.majority_baseline).select("doc_id", "label", "fold", "pred")
 
 
 @query(
     "g02_stratified_random",
-    f"""WITH {TRAIN_TEST}, s AS (SELECT avg((label <= 0)::INT) AS c0, avg((label <= 1)::INT) AS c1 FROM tr)
-    SELECT doc_id, label, CASE WHEN u < c0 THEN 0 WHEN u < c1 THEN 1 ELSE 2 END AS pred FROM
-    (SELECT *, {sql_uniform("'42|random|'||doc_id")} AS u FROM te), s""",
+    f"""WITH s AS (SELECT f AS fold, avg((label <= 0)::INT) AS c0, avg((label <= 1)::INT) AS c1
+      FROM folds, (SELECT DISTINCT fold AS f FROM folds) WHERE fold <> f GROUP BY f)
+    SELECT doc_id, label, fold, CASE WHEN u < c0 THEN 0 WHEN u < c1 THEN 1 ELSE 2 END AS pred FROM
+    (SELECT *, {sql_uniform("'42|random|'||doc_id")} AS u FROM folds) JOIN s USING (fold)""",
     "folds",
 )
 def g02(t):
-    return cl.random_baseline(*split0(t)).select("doc_id", "label", "pred")
+    return cl.every_fold(t.folds, N_FOLDS, cl.random_baseline).select("doc_id", "label", "fold", "pred")
 
 
 def sql_nb(alpha: float, complement: bool) -> str:
     n = "(n0 + n1 + n2 - n{c})" if complement else "n{c}"
     sign = "-" if complement else ""
     prior = "max(0)::DOUBLE" if complement else "ln(avg((label = {c})::INT))"
-    w = ", ".join(f"{sign}ln((m{c} + {alpha}::DOUBLE) / (sum(m{c}) OVER () + {alpha}::DOUBLE * count(*) OVER ())) AS w{c}" for c in range(3))
-    return f"""WITH {TRAIN_TEST},
+    share = "ln((m{c} + {a}::DOUBLE) / (sum(m{c}) OVER (PARTITION BY f) + {a}::DOUBLE * count(*) OVER (PARTITION BY f)))"
+    w = ", ".join(f"{sign}{share.format(c=c, a=alpha)} AS w{c}" for c in range(3))
+    return f"""WITH fs AS (SELECT DISTINCT fold AS f FROM folds),
     toks AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\\pL\\pN_]{{2,}}')) AS term FROM corpus),
-    vocab AS (SELECT term FROM toks SEMI JOIN tr USING (doc_id) GROUP BY term HAVING count(*) >= 2 ORDER BY count(*) DESC, term LIMIT 20000),
-    cnt AS (SELECT term, {', '.join(f'count(*) FILTER (label = {c}) AS n{c}' for c in range(3))} FROM toks JOIN tr USING (doc_id) SEMI JOIN vocab USING (term) GROUP BY term),
-    eff AS (SELECT term, {', '.join(n.format(c=c) + f' AS m{c}' for c in range(3))} FROM cnt),
-    wts AS (SELECT term, {w} FROM eff),
-    pri AS (SELECT {', '.join(prior.format(c=c) + f' AS b{c}' for c in range(3))} FROM tr),
-    sums AS (SELECT doc_id, {', '.join(f'sum(w{c}) AS w{c}' for c in range(3))} FROM toks JOIN wts USING (term) GROUP BY doc_id),
-    sc AS (SELECT te.doc_id, label, {', '.join(f'b{c} + coalesce(w{c}, 0) AS s{c}' for c in range(3))} FROM te LEFT JOIN sums USING (doc_id), pri)
+    seen AS (SELECT doc_id, term, label, fold FROM toks JOIN folds USING (doc_id)),
+    cnt AS (SELECT f, term, {', '.join(f'count(*) FILTER (label = {c}) AS n{c}' for c in range(3))} FROM seen, fs WHERE fold <> f GROUP BY ALL HAVING count(*) >= 2),
+    vocab AS (SELECT * FROM cnt QUALIFY row_number() OVER (PARTITION BY f ORDER BY n0 + n1 + n2 DESC, term) <= 20000),
+    eff AS (SELECT f, term, {', '.join(n.format(c=c) + f' AS m{c}' for c in range(3))} FROM vocab),
+    wts AS (SELECT f AS fold, term, {w} FROM eff),
+    pri AS (SELECT f AS fold, {', '.join(prior.format(c=c) + f' AS b{c}' for c in range(3))} FROM folds, fs WHERE fold <> f GROUP BY f),
+    sums AS (SELECT doc_id, {', '.join(f'sum(w{c}) AS w{c}' for c in range(3))} FROM seen JOIN wts USING (fold, term) GROUP BY doc_id),
+    sc AS (SELECT folds.doc_id, label, {', '.join(f'b{c} + coalesce(w{c}, 0) AS s{c}' for c in range(3))} FROM folds JOIN pri USING (fold) LEFT JOIN sums USING (doc_id))
     SELECT doc_id, label, {', '.join(f'round(s{c}, 5) AS s{c}' for c in range(3))},
       CASE WHEN round(s0,9)>=round(s1,9) AND round(s0,9)>=round(s2,9) THEN 0 WHEN round(s1,9)>=round(s2,9) THEN 1 ELSE 2 END AS pred FROM sc"""
 
 
 def naive_bayes(t, alpha, complement):
-    counts = sp.word_term_counts(t.corpus)
-    return rounded(cl.naive_bayes_split(counts, t.folds, 0, alpha, complement), 5)
+    return rounded(cl.naive_bayes_folds(sp.word_term_counts(t.corpus), t.folds, N_FOLDS, alpha, complement), 5)
 
 
 @query("g03_multinomial_nb", sql_nb(1.0, False), "folds corpus")
@@ -116,59 +157,98 @@ def g03c(t):
     return naive_bayes(t, 0.5, True)
 
 
-@query("g03_nb_mllib")
+@query("g03_nb_mllib", sql_check(FOLDS5), "folds")
 def g03m(t):
-    oof, _ = cl.cross_validate(rows3(t), lambda: cl.make_estimator("naive_bayes"), "nb", K, tfidf_features)
+    oof, _ = cl.cross_validate(text_rows(t), lambda n: cl.make_estimator("naive_bayes"), "nb", K, tfidf_features("unigram"))
     return check(oof)
 
 
-@query("g04_logistic")
+def by_penalty(rows: DataFrame, kind: str, grid: list[float], featurise) -> DataFrame:
+    """Out-of-fold tables of one model for every C; features are built once per fold."""
+    features, rows = cl.FoldFeatures(featurise), cl.stored(rows, f"{kind}-rows")
+    parts = []
+    for c in grid:
+        make = lambda n, c=c: cl.make_estimator(kind, n, "weight", C=c)
+        if kind == "svm":
+            oof = cl.platt_calibrate(cl.oof_margins(rows, make, K, features))
+        else:
+            oof, _ = cl.cross_validate(rows, make, kind, K, features)
+        parts.append(oof.select("doc_id", "label", "fold", "p0", "p1", "p2", "pred", F.lit(c).alias("c")))
+    return check(reduce(DataFrame.unionByName, parts), "c")
+
+
+def sql_penalties(*grid: float) -> str:
+    return sql_check(f"SELECT * FROM ({FOLDS5}), (SELECT unnest([{', '.join(f'{c}::DOUBLE' for c in grid)}]) AS c)", "c,")
+
+
+@query("g04_logistic", sql_penalties(0.1, 1.0, 10.0), "folds")
 def g04(t):
-    make = lambda: cl.make_estimator("logistic", 266, "weight", C=1.0, maxIter=20)
-    oof, _ = cl.cross_validate(rows3(t), make, "logistic", K, lambda a, b: tfidf_features(a, b, bigrams=True))
-    return check(oof)
+    return by_penalty(text_rows(t), "logistic", [0.1, 1.0, 10.0], tfidf_features("bigram"))
 
 
-@query("g05_svm_calibrated")
+@query("g04_logistic_char", sql_penalties(1.0), "folds")
+def g04c(t):
+    return by_penalty(text_rows(t), "logistic", [1.0], tfidf_features("char"))
+
+
+@query("g05_svm_calibrated", sql_penalties(0.1, 1.0), "folds")
 def g05(t):
-    rows = surface_rows(t)
-    margins = cl.oof_margins(rows, lambda: cl.make_estimator("svm", 266, "weight", C=1.0, maxIter=10), K)
-    got = cl.platt_calibrate(margins)
-    return got.select("doc_id", "label", "pred", F.round(F.col("p0") + F.col("p1") + F.col("p2"), 6).alias("p_sum"))
+    return by_penalty(text_rows(t), "svm", [0.1, 1.0], tfidf_features("unigram"))
 
 
 def _dense_query(name, kind, **params):
-    @query(name)
+    @query(name, sql_check(EMBEDDED))
     def run(t):
         weight = None if kind == "mlp" else "weight"
-        oof, _ = cl.cross_validate(surface_rows(t), lambda: cl.make_estimator(kind, 266, weight, **params), kind, K)
+        oof, _ = cl.cross_validate(vector_rows(t), lambda n: cl.make_estimator(kind, n, weight, **params), kind, K, weighted)
         return check(oof)
 
 
-_dense_query("g07_mlp", "mlp", layers=[len(SURFACE_COLUMNS), 32, 16, 3], maxIter=20)
-_dense_query("g08_forest", "forest", numTrees=20)
-_dense_query("g09_boosted", "boosted", maxIter=5, maxDepth=3)
+_dense_query("g07_mlp", "mlp", layers=[64, 256, 128, 3], maxIter=100)
+_dense_query("g07_mlp_deep", "mlp", layers=[64, 512, 256, 128, 3], maxIter=100)
+_dense_query("g08_forest", "forest", numTrees=100)
+_dense_query("g08_forest_300", "forest", numTrees=300)
+_dense_query("g09_boosted", "boosted", maxIter=100, maxDepth=3)
 
 
 @query("g10_metric_record")
 def g10(t):
-    make = lambda: cl.make_estimator("logistic", 266, "weight", maxIter=20)
-    _, record = cl.cross_validate(surface_rows(t), make, "logistic", K)
+    make = lambda n: cl.make_estimator("logistic", n, "weight")
+    _, record = cl.cross_validate(surface_table(text_rows(t)), make, "logistic", K, scaled_surface)
     return rounded(record.drop("time_s"))
 
 
-@query("g11_out_of_fold")
+@query("g11_out_of_fold", sql_check(FOLDS5), "folds")
 def g11(t):
-    make = lambda: cl.make_estimator("forest", 266, "weight", numTrees=10)
-    oof, _ = cl.cross_validate(surface_rows(t), make, "forest", K)
-    return oof.select("doc_id", "label", "fold", "pred")
+    make = lambda n: cl.make_estimator("forest", n, "weight", numTrees=100)
+    oof, _ = cl.cross_validate(surface_table(text_rows(t)), make, "forest", K, scaled_surface)
+    return check(oof)
 
 
 @query("g12_search")
 def g12(t):
-    est = LogisticRegression(weightCol="weight", maxIter=10)
-    grid = cl.random_grid(est, {"regParam": [0.001, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5]}, 4)
-    return rounded(cl.search(surface_rows(t), est, grid, K))
+    rows = with_class_weights(vector_rows(t), "label")  # the search compares settings; it keeps no model
+    est = LogisticRegression(weightCol="weight", standardization=False)
+    grid = cl.random_grid(est, {"regParam": [10.0**e for e in range(-6, 2)], "elasticNetParam": [0.0, 0.25, 0.5]}, 12)
+    return rounded(cl.search(rows, est, grid, K, parallelism=4))
+
+
+@query("g12_search_boosted")
+def g12b(t):
+    rows = vector_rows(t).withColumn("label", (F.col("label") == 1).cast("int"))
+    est = GBTClassifier(seed=SEED)
+    space = {
+        "maxDepth": [2, 3, 5],
+        "maxIter": [10, 20],
+        "stepSize": [0.05, 0.1, 0.3],
+        "subsamplingRate": [0.6, 0.8, 1.0],
+        "featureSubsetStrategy": ["sqrt", "0.5", "all"],
+        "minInstancesPerNode": [1, 5, 10],
+        "minInfoGain": [0.0, 0.001],
+        "maxBins": [16, 32, 64],
+        "minWeightFractionPerNode": [0.0, 0.01],
+    }
+    return rounded(cl.search(rows, est, cl.random_grid(est, space, 6), K, parallelism=4))
 
 
 @query(
@@ -201,42 +281,69 @@ def g14(t):
     return rounded(cl.meta_table(t.probs, list("abcd"), ["doc_id", "label"]))
 
 
-@query("g14_stacking")
+@query("g14_stacking", sql_check(FOLDS5), "folds")
 def g14s(t):
     folds = stratified_folds(t.gold, "doc_id", "label", K).select("doc_id", "fold")
     oof, _ = cl.stack(t.probs.join(folds, "doc_id"), list("abcd"), ["doc_id", "label", "fold"], K)
     return check(oof)
 
 
-def _record(rows, name, featurise=cl.as_is, prepare=None, weight="weight"):
-    make = lambda: cl.make_estimator("logistic", 266, weight, maxIter=10)
+def _record(rows, name, featurise, prepare=None, weight="weight"):
+    make = lambda n: cl.make_estimator("logistic", n, weight)
     return cl.cross_validate(rows, make, name, K, featurise, prepare)[1]
 
 
 @query("g15_preprocessing_ablation")
 def g15(t):
-    rows = rows3(t)
+    """Raw, repaired, cleaned, cleaned and lemmatised, cleaned and stemmed texts under the same folds."""
+    rows = cl.stored(text_rows(t), "ablation-rows")
+    ids = rows.select("doc_id", "label", "fold")
+    cleaned = lambda **k: ids.join(full_pipeline(rows.select("doc_id", "text"), **k).withColumnRenamed("clean", "text"), "doc_id")
     variants = {
-        "raw": F.col("text"),
-        "fixed": fix_text(F.col("text")),
-        "no_cashtag": cashtag_variant(F.col("text"), "removed"),
+        "raw": rows,
+        "repaired": rows.withColumn("text", fix_text(F.col("text"))),
+        "clean": cleaned(use_lemmatize=False),
+        "lemma": cleaned(use_lemmatize=True),
+        "stem": cleaned(use_stem=True),
     }
-    recs = {n: _record(rows.withColumn("text", c), n, tfidf_features) for n, c in variants.items()}
+    recs = {n: _record(cl.stored(r, n), n, tfidf_features("ablation")) for n, r in variants.items()}
     return rounded(cl.compare_variants(recs, "raw"))
 
 
+@query("g15_fusion_gain")
+def g15f(t):
+    """Word features alone, and beside the scaled surface features, under the same folds."""
+    rows = cl.stored(text_rows(t), "fusion-rows")
+
+    def fused(train, test):
+        words = tfidf_features("unigram")(train, test)
+        more = scaled_surface(surface_table(train), surface_table(test))
+        both = []
+        for a, b in zip(words, more):
+            a = cl.stored(a, "fusion-words")
+            b = b.select("doc_id", F.col("features").alias("more"))
+            joined = a.join(b, "doc_id")
+            packed = VectorAssembler(inputCols=["features", "more"], outputCol="both").transform(joined)
+            both.append(packed.drop("features", "more").withColumnRenamed("both", "features"))
+        return both[0], both[1]
+
+    recs = {"words": _record(rows, "words", tfidf_features("unigram")), "words_and_surface": _record(rows, "fused", fused)}
+    return rounded(cl.compare_variants(recs, "words"))
+
+
 @query("g15_smote_or_weights")
 def g15b(t):
-    rows = surface_rows(t)
+    rows = surface_table(text_rows(t))
 
     def balance(train: DataFrame) -> DataFrame:
-        from pyspark.ml.functions import vector_to_array
-
         dense = train.select("doc_id", "label", vector_to_array("features").alias("v"))
         made = smote(dense, "doc_id", "label", "v").select("doc_id", "label", F.col("vector").alias("v"))
         return dense.unionByName(made).select("doc_id", "label", array_to_vector("v").alias("features"))
 
-    recs = {"weights": _record(rows, "weights"), "smote": _record(rows, "smote", prepare=balance, weight=None)}
+    recs = {
+        "weights": _record(rows, "weights", scaled_surface),
+        "smote": _record(rows, "smote", scaled_surface, prepare=balance, weight=None),
+    }
     return rounded(cl.compare_variants(recs, "weights"))
 
 
@@ -255,8 +362,8 @@ def g16(t):
 @query("g16_adversarial")
 def g16b(t):
     rows = stratified_folds(cl.adversarial_rows(t.split_a, t.split_b), "doc_id", "label", K)
-    make = lambda: cl.make_estimator("logistic", 666, "weight", maxIter=10)
-    oof, _ = cl.cross_validate(rows, make, "adversarial", K, tfidf_features)
+    make = lambda n: cl.make_estimator("logistic", n, "weight")
+    oof, _ = cl.cross_validate(rows, make, "adversarial", K, tfidf_features("ablation"))
     return rounded(rank_sum_auc(oof, "p1", "label"), 4)
 
 
