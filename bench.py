@@ -15,13 +15,16 @@ HEADLINE = [
     "b16_full_clean",
     "b22_fix_text",
     "c01_lexicon",
+    "c11_feature_row",
     "d05_tfidf_unigram",
+    "d06_tfidf_bigram",
     "d07_tfidf_char",
     "d10_top_terms",
     "e03_mean_pool",
     "e11_knn_15",
     "f01_folds",
     "g03_multinomial_nb",
+    "g06_knn_classifier",
     "g10_metric_record",
     "h03_report",
     "h14_temperature_search",
@@ -31,6 +34,7 @@ HEADLINE = [
     "j02_length_summary",
     "j07_near_duplicates",
     "j10_normalised_overlap",
+    "j11_shift",
     "k03_route",
     "k05_tau_sweep",
     "l04_session_stats",

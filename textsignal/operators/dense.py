@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from textsignal.constants import SEED
 from textsignal.functions.clean import words
 from textsignal.functions.hashing import digest, uniform
-from textsignal.operators.joins import checked_broadcast, place_by
+from textsignal.operators.joins import stored_side, place_by
 from textsignal.operators.knn import knn, unit_vector
 from textsignal.operators.split import distributed_rank
 
@@ -50,7 +50,7 @@ def mean_pool(df: DataFrame, vectors: DataFrame, dim: int, id_col: str = "doc_id
         .groupBy(id_col, "word")
         .agg(F.count(F.lit(1)).cast("double").alias("n"))
     )
-    hits = counts.join(checked_broadcast(vectors), "word").select(
+    hits = counts.join(stored_side(vectors), "word").select(
         id_col, "n", array_to_vector(F.col("vector").cast("array<double>")).alias("v")
     )
     pooled = hits.groupBy(id_col).agg(vector_to_array(Summarizer.mean(F.col("v"), F.col("n"))).alias("vector"))

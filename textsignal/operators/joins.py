@@ -1,19 +1,19 @@
 """Placement and join helpers."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-BROADCAST_ROWS = 200_000
+from textsignal.session import scratch_path
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only where the table is proved to hold at most ``max_rows`` rows.
+def stored_side(df: DataFrame, name: str = "side") -> DataFrame:
+    """A join side written once and read back.
 
-    The proof is one small job that stops counting past the bound.  Larger tables
-    are left to a shuffled join, where adaptive execution splits skewed keys.
+    Its lineage runs once, and its size in bytes is known, so Spark itself broadcasts it if it
+    is small and else shuffles, where adaptive execution splits skewed keys.
     """
-    if df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def place_by(df: DataFrame, key: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from textsignal.constants import LEXICON_CUT
 from textsignal.functions.clean import words
 from textsignal.functions.surface import mark_count
-from textsignal.operators.joins import checked_broadcast
+from textsignal.operators.joins import stored_side
 
 # --- fixed values: published constants --------------------------------------------------
 BOOST, CAPS_BOOST, NEGATE_BY, NORM = 0.293, 0.733, -0.74, 15.0
@@ -110,7 +110,7 @@ def lexicon_scores(df: DataFrame, lexicon: DataFrame, id_col: str = "doc_id", te
         F.array_position("_low", "but").alias("_but"),
     )
     tokens = rows.select(id_col, "_mixed", "_but", "_emph", F.inline_outer("_toks"))
-    hits = tokens.join(checked_broadcast(lexicon), "token", "left")
+    hits = tokens.join(stored_side(lexicon), "token", "left")
     sign = F.signum("valence")
     v = F.col("valence") + F.when(F.col("_mixed") & F.col("caps"), sign * CAPS_BOOST).otherwise(0.0)
     for d in (1, 2, 3):
