@@ -12,7 +12,7 @@ from textsignal.operators import metrics as m
 from textsignal.operators import stats as st
 from textsignal.operators.classify import make_estimator, predict_table
 from textsignal.operators.dense import smote
-from textsignal.operators.joins import checked_broadcast
+from textsignal.operators.joins import stored_side
 from textsignal.operators.knn import knn
 from textsignal.operators.route import cascade, route
 from textsignal.operators.split import balanced_class_weights, distributed_rank, stratified_folds, stratified_sample
@@ -233,10 +233,10 @@ def test_late_turns_keep_the_last_three():
     assert (n, tools, labels, turns, finals) == (5, [4, 0, 1], [2, 1, 2], [7, 8, 9], [1, 0, 2])
 
 
-def test_broadcast_needs_a_proof(spark):
-    big, small = spark.range(100), spark.range(5)
-    assert checked_broadcast(big, 50) is big
-    assert checked_broadcast(small, 50) is not small
+def test_stored_side_cuts_the_lineage(spark):
+    side = stored_side(spark.range(5))
+    assert sorted(r.id for r in side.collect()) == [0, 1, 2, 3, 4]
+    assert "FileScan" in side._jdf.queryExecution().executedPlan().toString()  # its lineage is cut
 
 
 def test_penalty_follows_c(spark):
