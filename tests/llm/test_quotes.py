@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from textsignal.llm.q_quotes import op8
-from textsignal.llm.quotes import link_quotes
+from textsignal.llm.quotes import link_quotes, links, own_text, parsed
 from textsignal.llm.registry import Source
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -113,3 +113,20 @@ def test_whole_table_keeps_every_message(spark):
         r = got[key]
         assert (r.quote_levels, r.n_quotes, r.n_linked, r.reply_to) == (levels, quotes, linked, reply_to)
         assert r.body_sha256 == hashlib.sha256(body.encode()).hexdigest()
+
+
+def test_original_elsewhere_although_the_conversation_repeats_it(make):
+    line = "A line worth repeating."
+    rows = [
+        (1, 3, "u", f"> {line}\nIndeed."), (1, 4, "u", line), (9, 1, "u", line), (9, 2, "u", line), (12, 0, "u", line),
+        (2, 0, "u", f"> {line}\n{line}"), (7, 0, "u", "> Indeed."), (8, 0, "u", "> said nowhere\nsaid nowhere"),
+    ]
+    messages = make(rows, SCHEMA)
+    got = {(r.conv_id, r.turn): (r.n_quotes, r.n_linked, r.reply_to) for r in link_quotes(messages).collect()}
+    assert got[1, 3] == got[2, 0] == got[7, 0] == (1, 1, None) and got[8, 0] == (1, 0, None)
+    parts = messages.select("conv_id", "turn", "text", F.xxhash64("text").alias("key"), parsed(F.col("text")).alias("lines"))
+    parts = parts.withColumn("body", own_text(F.col("text"), F.col("lines")))
+    found = links(parts, parts.filter(F.col("text").contains(">"))).collect()
+    assert {(r.conv_id, r.turn): (r.to_conv, r.to_turn) for r in found} == {
+        (1, 3): (2, 0), (2, 0): (1, 4), (7, 0): (1, 3), (8, 0): (None, None)
+    }

@@ -68,19 +68,22 @@ def links(rows: DataFrame, quoting: DataFrame) -> DataFrame:
 
     The original is the first message of the same conversation, before the quoting one, that says the
     run; else one of its lines, in their order; else the first such message of any
-    other conversation.  Originals are one least message per hash, so a line that very many
-    messages repeat is one row of the join.
+    other conversation.  Originals are, per hash, the least messages of the two least conversations: one of them is another
+    conversation, so a line that very many messages repeat is one row of the join.
     """
     quoted = store(quoted_passages(quoting), "quoted")
     asked = quoted.select("conv_id", "turn", "key", "run", F.posexplode("hashes").alias("place", "hash"))
     said = own_passages(rows).join(asked.select("hash").distinct(), "hash", "left_semi")
     near = said.groupBy("conv_id", "hash").agg(F.min("turn").alias("said"))
-    far = said.filter("conv_id IS NOT NULL AND turn IS NOT NULL").groupBy("hash")
-    far = far.agg(F.min(F.struct("conv_id", "turn")).alias("first"))
+    far = near.filter("conv_id IS NOT NULL AND said IS NOT NULL")
+    far = far.withColumn("rank", F.row_number().over(Window.partitionBy("hash").orderBy("conv_id"))).filter("rank <= 2")
+    place = F.struct("conv_id", F.col("said").alias("turn"))
+    far = far.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("second"))
     near = near.select(F.col("conv_id").alias("c"), F.col("hash").alias("h"), "said")
     here = (F.col("conv_id") == F.col("c")) & (F.col("hash") == F.col("h")) & (F.col("said") < F.col("turn"))
     found = asked.join(near, here, "left").join(far, "hash", "left")
     elsewhere = F.when(F.col("first")["conv_id"] != F.col("conv_id"), F.col("first"))
+    elsewhere = elsewhere.when(F.col("second")["conv_id"] != F.col("conv_id"), F.col("second"))
     choice = F.when(F.col("said").isNotNull(), F.struct(F.lit(0).alias("far"), "place", F.col("conv_id").alias("c"), F.col("said").alias("t")))
     choice = choice.when(
         elsewhere.isNotNull(), F.struct(F.lit(1).alias("far"), "place", elsewhere["conv_id"].alias("c"), elsewhere["turn"].alias("t"))
