@@ -30,8 +30,8 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near-duplicates the document with the least id."""
-    return near_dup.one_per_component(docs)
+    """Of every group of near-duplicates (5-word shingles, similarity 0.8) the document with the least id."""
+    return near_dup.one_per_likeness(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

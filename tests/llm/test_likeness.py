@@ -1,0 +1,73 @@
+import random
+
+import corpus_pipeline
+from textsignal.llm.near_dup import fingerprint, one_per_likeness, similar_documents
+
+SF = "/root/testdata/sf0.01"
+
+
+def shingles(text):
+    w = (text or "").encode().lower().split()
+    return frozenset(b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+
+def like(texts):
+    """The least id that each id reaches over pairs of Jaccard similarity 0.8 and over, by plain counting."""
+    sets = {i: shingles(t) for i, t in texts.items()}
+    root, holders = {i: i for i in sets}, {}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in sorted(sets):
+        shared = {}
+        for s in sets[i] or {None}:
+            for j in holders.setdefault(s, []):
+                shared[j] = shared.get(j, 0) + 1
+            holders[s].append(i)
+        for j, n in shared.items():
+            if 5 * n >= 4 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {i: find(i) for i in sets}
+
+
+def test_whole_table_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = like({r.doc_id: r.text for r in docs.collect()})
+    assert {r.doc_id: r.component_id for r in similar_documents(docs).collect()} == want
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    assert {r.doc_id for r in stage(spark, docs, SF).collect()} == set(want.values())
+
+
+def test_a_large_group_and_copies_beyond_four_bits(spark, make):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(3000)]
+    first = rng.choices(words, k=300)
+    texts = {0: " ".join(first)}
+    for i in range(1, 240):
+        copy = list(first)
+        for at in rng.sample(range(300), rng.randint(1, 14)):
+            copy[at] = rng.choice(words)
+        texts[i] = " ".join(copy)
+    far = list(first)
+    for at in (40, 90, 140, 190, 240, 290):
+        far[at] = "other"
+    texts |= {500: " ".join(far), 501: "a b c", 502: "A  b c", 503: "a b d", 504: "", 505: None}
+    assert any((fingerprint(t) ^ fingerprint(texts[0])).bit_count() > 4 for i, t in texts.items() if i < 240)
+    docs = make(list(texts.items()), "doc_id long, text string")
+    want = like(texts)
+    assert {r.doc_id: r.component_id for r in similar_documents(docs).collect()} == want
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    assert {r.doc_id for r in stage(spark, docs, SF).collect()} == set(want.values())
+    assert want[500] == 0 and want[502] == 501 and want[503] == 503 and want[505] == 504
+
+
+def test_edges(edge_docs, no_docs):
+    got = {r.doc_id: r.component_id for r in similar_documents(edge_docs).collect() if r.doc_id != 4}
+    assert got[0] == got[1] == got[2] == 0 and got[10] == got[11] == 10 and got[None] is None
+    kept = one_per_likeness(edge_docs).collect()
+    assert sum(r.doc_id is None for r in kept) == 1 and {0, 3, 10} <= {r.doc_id for r in kept}
+    assert similar_documents(no_docs).count() == one_per_likeness(no_docs).count() == 0
