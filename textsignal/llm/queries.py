@@ -4,6 +4,7 @@ from textsignal.llm import (  # noqa: F401
     q_decontaminate,
     q_fingerprints,
     q_language,
+    q_line_dedup,
     q_near_dup,
     q_packing,
     q_pii,
