@@ -8,7 +8,9 @@ from textsignal.llm import (  # noqa: F401
     q_near_dup,
     q_packing,
     q_pii,
+    q_prefix_trie,
     q_quotes,
+    q_repair,
     q_shard,
     q_toxicity,
     q_warc,
