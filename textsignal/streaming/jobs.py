@@ -130,3 +130,13 @@ def windowed_counts(
         .agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean_value"))
         .select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), key, "n", "mean_value")
     )
+
+
+def session_windows(events: DataFrame, ts: str, key: str, gap: str = "30 minutes", lateness: str = "30 minutes") -> DataFrame:
+    """Counts per session of ``key``: events less than ``gap`` apart; a session closes once the watermark has passed its end."""
+    return (
+        events.withWatermark(ts, lateness)
+        .groupBy(F.session_window(ts, gap).alias("w"), key)
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+        .select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n", "total")
+    )
