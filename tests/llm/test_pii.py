@@ -63,37 +63,38 @@ def test_tricky_matches(make):
 
 
 def terms(docs, support=3, share=0.9):
-    """The method by plain counting."""
+    """The method by plain counting over whole texts."""
     import math
     from collections import Counter
 
     norm = lambda k, v: v.lower() if k == "email" else v if k == "ip" else re.sub("[^0-9]", "", v)
-    near, joint, n_e, n_t = [], Counter(), Counter(), Counter()
+    joint, n_e, n_t, whole = Counter(), Counter(), Counter(), []
     for text in {t or "" for _, t in docs}:
-        n_t.update(set(re.findall(r"[^\W\d_]+", text.lower())))
         spans = base(text)
-        here = set()
-        for s, _, kind, e in spans:
-            entity = (kind, norm(kind, text[s:e]))
-            here.add(entity)
-            left, right = text[max(0, s - 40) : s], text[e : e + 40]
-            left = re.sub(r"^[^\W\d_]+", "", left) if s > 40 else left
-            right = re.sub(r"[^\W\d_]+$", "", right) if len(text) > e + 40 else right
-            for part, at in ((left, s - len(left)), (right, e)):
-                for m in re.finditer(r"[^\W\d_]{3,}", part):
-                    a, b = m.start() + at, m.end() + at
-                    if not any(a < y and x < b for x, _, _, y in spans):
-                        near.append((text, entity, a, b, m[0].lower()))
-        n_e.update(here)
-    for entity, term, _ in {(e, t, x) for x, e, _, _, t in near}:
-        joint[entity, term] += 1
-    n = len({t or "" for _, t in docs})
-    bad = set()
-    for (e, t), c in joint.items():
+        rest = list(text)
+        for s, _, _, e in spans:
+            rest[s:e] = " " * (e - s)
+        words = [(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[^\W\d_]+", "".join(rest))]
+        entities = {(k, norm(k, text[s:e])) for s, _, k, e in spans}
+        whole.append((text, entities, words))
+        held = {w for _, _, w in words}
+        n_e.update(entities)
+        n_t.update(held)
+        joint.update((e, w) for e in entities for w in held)
+    n = len(whole)
+
+    def bad(e, t):
         content = math.log2(n / n_e[e])
-        if c >= support and content > 0 and math.log2(c * n / (n_e[e] * n_t[t])) >= share * content:
-            bad.add((e, t))
-    return {(x, a, b) for x, e, a, b, t in near if (e, t) in bad}
+        c = joint[e, t]
+        return c >= support and content > 0 and math.log2(c * n / (n_e[e] * n_t[t])) >= share * content - 1e-12
+
+    return {(text, a, b) for text, entities, words in whole for a, b, w in words if any(bad(e, w) for e in entities)}
+
+
+def marked(docs, rows, **args):
+    texts = dict(rows)
+    got = find_personal_data(docs, **args).collect()
+    return {(texts[r.doc_id] or "", s.start, s.end) for r in got for s in r.spans if s.kind == "term"}
 
 
 def test_disclosing_terms_against_plain_counts(make):
@@ -103,10 +104,8 @@ def test_disclosing_terms_against_plain_counts(make):
         rows.append((100 + i, f"the weather of day {i} was fine and the number {i} is a number"))
         rows.append((200 + i, f"mail to joe{i}@mail.com soon, number {i}"))
     rows += [(300, rows[0][1]), (301, None), (302, "")]
-    docs = make(rows, "doc_id long, text string")
-    got = find_personal_data(docs).collect()
-    texts = dict(rows)
-    found = {(texts[r.doc_id] or "", s.start, s.end) for r in got for s in r.spans if s.kind == "term"}
+    docs, texts = make(rows, "doc_id long, text string"), dict(rows)
+    found = marked(docs, rows)
     assert found == terms(rows)
     assert {t[a:b] for t, a, b in found} >= {"Quillfeather", "treasurer"} and "number" not in {t[a:b] for t, a, b in found}
     clean = {r.doc_id: r.text for r in sanitise(docs).collect()}
@@ -114,6 +113,37 @@ def test_disclosing_terms_against_plain_counts(make):
     assert clean[100] == texts[100] and clean[301] is None and clean[302] == ""
 
 
+def test_terms_far_from_their_entity(make):
+    """The name always shares the text with the address, some hundred characters away; the filler words stand everywhere."""
+    filler = "now note here some plain words that anybody may write in a letter about nothing at all, day after day"
+    rows = [(i, f"Quillfeather, {filler} {i}. {filler}. q@club.org; ŒUVRE {i} {filler} Quillfeather") for i in range(60)]
+    rows += [(100 + i, f"{filler} {i} and {filler} with joe{i}@mail.com") for i in range(60)]
+    rows += [(300 + i, f"{filler} {i} and {filler}") for i in range(200)] + [(900 + i, rows[3][1]) for i in range(50)]
+    docs = make(rows, "doc_id long, text string")
+    found = marked(docs, rows)
+    assert found == terms(rows)
+    assert {t[a:b] for t, a, b in found} == {"Quillfeather", "ŒUVRE"}
+
+
+def test_thresholds(make):
+    rows = [(i, f"Ab z{'y' * (i % 4)} the q@club.org") for i in range(8)] + [(50 + i, f"the ab text {i}" if i < 2 else f"the text {i}") for i in range(40)]
+    docs = make(rows, "doc_id long, text string")
+    for support, share in ((1, 0.9), (2, 0.5), (3, 0.99), (9, 0.1)):
+        assert marked(docs, rows, support=support, share=share) == terms(rows, support, share)
+
+
+def test_given_documents_against_plain_counts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    assert marked(docs, rows) == terms(rows)
+
+
+def test_clashing_columns(make):
+    schema = "doc_id long, text string, id long, text_key string, spans int, row string, bad int, base string"
+    rows = [(i, "mail joe@mail.com", 9, "k", 1, "r", 2, "b") for i in range(3)]
+    assert {tuple(r)[1:] for r in sanitise(make(rows, schema)).collect()} == {("mail [EMAIL]", 9, "k", 1, "r", 2, "b")}
+
+
 def test_edges(edge_docs, no_docs):
     assert find_personal_data(edge_docs).count() == edge_docs.count()
     clean = sanitise(edge_docs.withColumn("spans", F.lit(1)))

@@ -22,14 +22,8 @@ SEGMENTS = ((40, 24, 1), (16, 24, 1), (0, 16, 0))  # shift, bits, differences so
 CODE = 15  # length of the perfect code; the other bits of a segment are their own anchor
 COVER = 1  # its covering radius
 
-# Likeness of whole texts, as the pipeline asks for it.
-WORDS = 5
-LIKE = (4, 5)  # Jaccard similarity of the word shingles, as a fraction, that makes two texts near copies
-BANDS, ROWS = 25, 5  # a pair at 0.8 shares no band with a probability of (1 - 0.8 ** 5) ** 25 = 5e-5
-_MIX = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-
-def _hashed(text: str | None, width: int) -> Iterator[np.ndarray]:
+def _hashed(text: str | None, width: int = SHINGLE) -> Iterator[np.ndarray]:
     """Hashes of the text's shingles of ``width`` words, a chunk at a time; a shorter text is one shingle."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
@@ -50,33 +44,12 @@ def _hashed(text: str | None, width: int) -> Iterator[np.ndarray]:
 def fingerprint(text: str | None) -> int:
     """64-bit fingerprint, signed: a bit is set if it is set in over half the shingles' hashes."""
     n, votes = 0, np.zeros(64, np.int64)
-    for hashes in _hashed(text, SHINGLE):
+    for hashes in _hashed(text):
         n += len(hashes)
         votes += np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * votes > n).view(">i8")[0])
 
 
-def shingle_set(text: str | None) -> np.ndarray:
-    """The distinct hashes of the text's shingles of ``WORDS`` words, sorted."""
-    parts = list(_hashed(text, WORDS))
-    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
-
-
-def set_key(shingles: np.ndarray) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes(), SEED)).astype(np.int64))
-
-
-def bands(shingles: np.ndarray) -> list[int]:
-    """A key per band of least values of the set under random orders; sets share a band with Jaccard ** ``ROWS``."""
-    if not len(shingles):
-        return []
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
-    for at in range(0, len(shingles), 2048):
-        np.minimum(least, (shingles[at : at + 2048] * _MIX[0] + _MIX[1]).min(axis=1), out=least)
-    keys = [xxhash.xxh3_64_intdigest(least[i * ROWS : (i + 1) * ROWS].tobytes(), i) for i in range(BANDS)]
-    return np.array(keys, np.uint64).astype(np.int64).tolist()
-
-
 def fingerprints(text: Column) -> Column:
     @F.pandas_udf("long")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -86,15 +59,6 @@ def fingerprints(text: Column) -> Column:
     return of(text)
 
 
-def set_keys(text: Column) -> Column:
-    @F.pandas_udf("long")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([set_key(shingle_set(t)) for t in texts], dtype="int64")
-
-    return of(text)
-
-
 def _near_codewords() -> tuple[np.ndarray, np.ndarray]:
     """For every word of the perfect code's length: the codewords within ``COVER`` + 1, and how far they are.
 
@@ -230,118 +194,19 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     with a null id stays unless its fingerprint is that of a row with an id; of several such rows with
     equal texts one stays.
     """
-    found = near_duplicates(docs, id_col, text_col, radius)
-    return _first_of_each(docs, found, fingerprints, id_col, text_col)
-
-
-def _first_of_each(docs: DataFrame, found: DataFrame, hashed, id_col: str, text_col: str) -> DataFrame:
-    """The rows of ``docs`` whose id is their ``component_id`` in ``found``; ``hashed`` makes its ``fingerprint`` of a text."""
+    found = near_duplicates(docs, id_col, text_col, radius).select(F.col(id_col).alias("id"), "fingerprint", "component_id")
     found = store(found, "components")
-    twice = found.groupBy(id_col).count().filter("count > 1").select(F.col(id_col).alias("_id"))
-    kept = found.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_id")).distinct()
-    single = docs.join(kept.join(twice, "_id", "left_anti"), F.col(id_col) == F.col("_id"), "left_semi")
-    many = kept.join(twice, "_id", "left_semi")
-    if many.isEmpty() and found.filter(F.col(id_col).isNull()).isEmpty():
-        return single
-    repeated = docs.join(many, F.col(id_col) == F.col("_id"), "left_semi")
-    repeated = repeated.groupBy(id_col).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(text_col)).alias("_row"))
-    taken = store(found.filter(F.col(id_col).isNotNull()).select(F.col("fingerprint").alias("_f")).distinct(), "taken")
-    loose = docs.filter(F.col(id_col).isNull()).withColumn("_p", hashed(F.col(text_col)))
-    loose = loose.join(taken, F.col("_p") == F.col("_f"), "left_anti").dropDuplicates([text_col])
-    return single.union(repeated.select("_row.*")).union(loose.select(*docs.columns))
-
-
-def _banded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        sets = [shingle_set(t) for t in batch["_text"]]
-        yield pd.DataFrame(
-            {
-                "_id": batch["_id"].astype("Int64"),
-                "key": [set_key(x) for x in sets],
-                "n": [len(x) for x in sets],
-                "print": [fingerprint(t) for t in batch["_text"]],
-                "bands": [bands(x) for x in sets],
-            }
-        )
-
-
-def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        sets = [shingle_set(t) for t in batch["_text"]]
-        yield pd.DataFrame({"key": [set_key(x) for x in sets], "shingles": [x.astype(np.int64) for x in sets]})
-
-
-def _alike(shared: Column, n: Column, m: Column) -> Column:
-    """Sets of sizes ``n`` and ``m`` reach the similarity if they share that many; in whole numbers."""
-    part, whole = LIKE
-    return shared * whole >= (n + m - shared) * part
-
-
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` whose sets are alike; sets meet by a join on keys."""
-    other = sets.select(F.col("key").alias("b"), F.col("shingles").alias("y"))
-    mine = sets.select(F.col("key").alias("a"), F.col("shingles").alias("x"))
-    met = pairs.join(other, "b").join(mine, "a")
-    return met.filter(_alike(F.size(F.array_intersect("x", "y")), F.size("x"), F.size("y"))).select("a", "b")
-
-
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fingerprint, component_id) per row: components of texts whose 5-word shingles reach a Jaccard similarity of 0.8.
-
-    ``fingerprint`` is a hash of the set of shingles; texts of one set are one node.  Candidates are the
-    pairs of the SimHash anchors and those that share a band; every candidate is confirmed on the whole sets of
-    64-bit shingle hashes.  First every node meets the two ends of its bands, which joins large groups by few
-    pairs; then only nodes of different components meet in a band, all of them.  What is not
-    found is a pair that shares none of the bands, 5 in 100,000 at a similarity of 0.8, and fewer above it.
-
-    Wordless texts are one node.  Nulls and repeated rows are treated as in ``near_duplicates``.
-    """
-    rows = without(docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")), id_col)
-    seen = rows.mapInPandas(_banded, "_id long, key long, n long, print long, bands array<long>")
-    seen = store(seen, "shingled")
-    nodes = seen.filter("_id IS NOT NULL").groupBy("key")
-    nodes = nodes.agg(F.min("_id").alias("node"), F.min("n").alias("n"), F.min("print").alias("print"), F.first("bands").alias("bands"))
-    nodes = store(nodes, "nodes")
-    close = links(nodes.groupBy(F.col("print").alias("fingerprint")).agg(F.min("key").alias("node")))
-
-    held = nodes.select("key", "n", F.explode("bands").alias("band"))
-    me = F.struct("key", "n")
-    ends = held.groupBy("band").agg(F.min(me).alias("low"), F.max(me).alias("high")).filter("low.key < high.key")
-    ends = ends.select(F.col("band").alias("_band"), F.array("low", "high").alias("ends"))
-    held = store(held.join(ends, F.col("band") == F.col("_band")).select("key", "n", "band", "ends"), "shared-bands")
-    star = held.select("key", "n", F.explode("ends").alias("end")).filter("key <> end.key")
-    star = star.filter(_alike(F.least("n", "end.n"), F.col("n"), F.col("end.n")))
-    star = star.select(F.least("key", "end.key").alias("a"), F.greatest("key", "end.key").alias("b"))
-    close = close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    tried = store(star.union(close).distinct(), "candidates")
-
-    asked = held.select("key").union(tried.select("a")).union(tried.select("b")).distinct()
-    asked = store(nodes.join(asked, "key").select(F.col("node").alias("_node")).distinct(), "asked")
-    sets = rows.join(asked, F.col("_id") == F.col("_node"), "left_semi").mapInPandas(_sets, "key long, shingles array<long>")
-    sets = store(sets.dropDuplicates(["key"]), "sets")
-
-    first = store(_confirmed(tried, sets), "confirmed")
-    found = store(components(first), "first-components").select(F.col("node").alias("_key"), "component")
-    placed = held.select("key", "n", "band").join(found, F.col("key") == F.col("_key"), "left")
-    placed = store(placed.select("key", "n", "band", F.coalesce("component", "key").alias("component")), "placed")
-    mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = mixed.filter("low < high").select(F.col("band").alias("_band"))
-    placed = store(placed.join(mixed, F.col("band") == F.col("_band"), "left_semi"), "mixed-bands")
-    x, y = placed.alias("x"), placed.alias("y")
-    apart = (F.col("x.band") == F.col("y.band")) & (F.col("x.component") != F.col("y.component")) & (F.col("x.key") < F.col("y.key"))
-    rest = x.join(y, apart & _alike(F.least("x.n", "y.n"), F.col("x.n"), F.col("y.n")))
-    rest = rest.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    second = _confirmed(store(rest, "candidates"), sets)
-
-    found = store(components(first.union(second)), "like").select(F.col("node").alias("_key"), "component")
-    whole = nodes.join(found, F.col("key") == F.col("_key"), "left")
-    whole = store(whole.select("key", "node", F.coalesce("component", "key").alias("component")), "whole")
-    least = whole.groupBy("component").agg(F.min("node").alias("component_id"))
-    named = whole.join(least, "component").select(F.col("key").alias("_key"), "component_id")
-    named = seen.join(named, F.col("key") == F.col("_key"), "left")
-    return named.select(F.col("_id").alias(id_col), F.col("key").alias("fingerprint"), "component_id")
-
-
-def one_per_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Like ``one_per_component``, with the components of ``similar_documents``."""
-    return _first_of_each(docs, similar_documents(docs, id_col, text_col), set_keys, id_col, text_col)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))  # names inside a struct clash with none
+    own, text = F.col("row").getField(id_col), F.col("row").getField(text_col)
+    twice = found.groupBy("id").count().filter("count > 1").select("id")
+    kept = found.filter("id = component_id").select("id").distinct()
+    single = rows.join(kept.join(twice, "id", "left_anti"), own == F.col("id"), "left_semi")
+    many = kept.join(twice, "id", "left_semi")
+    if many.isEmpty() and found.filter("id IS NULL").isEmpty():
+        return single.select("row.*")
+    repeated = rows.join(many, own == F.col("id"), "left_semi").groupBy(own.alias("id"))
+    repeated = repeated.agg(F.min_by("row", F.xxhash64(text)).alias("row")).select("row")
+    taken = store(found.filter("id IS NOT NULL").select(F.col("fingerprint").alias("taken")).distinct(), "taken")
+    loose = rows.filter(own.isNull()).withColumn("print", fingerprints(text)).join(taken, F.col("print") == F.col("taken"), "left_anti")
+    loose = loose.withColumn("text", text).dropDuplicates(["text"]).select("row")
+    return single.union(repeated).union(loose).select("row.*")

@@ -23,23 +23,22 @@ LINEAR = {
 }
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 BYTE_PART = r"^0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])$"
-TERM = r"\p{L}{3,}"
+TERM = r"\p{L}+"
 
-CONTEXT = 40  # characters on either side of an entity in which terms are looked at
-SUPPORT = 3  # distinct texts in which a term must stand near an entity
+SUPPORT = 3  # distinct texts in which a term must stand with an entity
 SHARE = 0.9  # of an entity's information content, which a term may not reveal
 
 SPAN = "struct<start:bigint,end:bigint,value:string>"
 
 
-def spans_of(text: Column, pattern: str) -> Column:
+def spans_of(text: Column, pattern: str | Column) -> Column:
     """Array of (start, end, value), in code points, of the leftmost non-overlapping matches.
 
     The gaps between the matches and the matches themselves add up to the positions.
     """
     both = F.zip_with(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        F.split(text, pattern, -1),
+        F.split(text, F.lit(pattern), -1),
         lambda value, gap: F.struct(value.alias("value"), gap.alias("gap")),
     )
 
@@ -52,7 +51,7 @@ def spans_of(text: Column, pattern: str) -> Column:
     none = F.array().cast(f"array<{SPAN}>")
     first = F.struct(F.lit(0).cast("long").alias("at"), none.alias("out"))
     found = F.filter(both, lambda x: x["value"].isNotNull())
-    return F.when(text.rlike(pattern), F.aggregate(found, first, step, lambda acc: acc["out"])).otherwise(none)
+    return F.when(F.rlike(text, F.lit(pattern)), F.aggregate(found, first, step, lambda acc: acc["out"])).otherwise(none)
 
 
 def digits(value: Column) -> Column:
@@ -105,73 +104,89 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*found))
 
 
-def contexts(text: Column, base: Column) -> Column:
-    """Per base span its entity and the text left and right of it, cut at whole words, with positions."""
+def blanked(text: Column, base: Column) -> Column:
+    """The text with base spans as spaces, so that positions stay: its letter runs are the terms."""
 
-    def around(s: Column) -> Column:
-        taken = F.least(s["start"], F.lit(CONTEXT))
-        left = F.substring(text, (s["start"] - taken + 1).cast("int"), taken.cast("int"))
-        left = F.when(s["start"] > CONTEXT, F.regexp_replace(left, r"^\p{L}+", "")).otherwise(left)
-        right = F.substring(text, (s["end"] + 1).cast("int"), F.lit(CONTEXT))
-        right = F.when(F.length(text) > s["end"] + CONTEXT, F.regexp_replace(right, r"\p{L}+$", "")).otherwise(right)
-        return F.struct(s["entity"].alias("entity"), s["start"].alias("start"), s["end"].alias("end"), left.alias("left"), right.alias("right"))
+    def step(acc: Column, s: Column) -> Column:
+        gap = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
+        spaces = F.repeat(F.lit(" "), (s["end"] - F.greatest(acc["at"], s["start"])).cast("int"))
+        longer = F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], gap, spaces).alias("out"))
+        return F.when(s["end"] > acc["at"], longer).otherwise(acc)
 
-    return F.transform(base, around)
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    rest = F.aggregate(base, start, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
+    return F.when(F.size(base) > 0, rest).otherwise(text)
 
 
-def found_entities(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text_key, base, around) per row; ``around`` holds the contexts."""
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.withColumn("text_key", F.xxhash64("text")).withColumn("base", base_spans(F.col("text")))
-    none = F.array().cast("array<struct<entity:bigint,start:bigint,end:bigint,left:string,right:string>>")
-    around = F.when(F.size("base") > 0, contexts(F.col("text"), F.col("base"))).otherwise(none)
-    return rows.select("id", "text_key", "base", around.alias("around"))
+def term_hash(word: Column) -> Column:
+    return F.xxhash64(F.lower(word))
 
 
-def near_terms(found: DataFrame) -> DataFrame:
-    """(id, text_key, entity, start, end, term): letter runs near an entity and outside all base spans."""
-    rows = found.select("id", "text_key", "base", F.explode("around").alias("a"))
-    left, right = spans_of(F.col("a.left"), TERM), spans_of(F.col("a.right"), TERM)
-    shift = F.col("a.start") - F.length("a.left")
+def terms_of(text: Column) -> Column:
+    """Distinct hashes of the terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), term_hash))
 
-    def moved(spans: Column, by: Column) -> Column:
-        return F.transform(
-            spans,
-            lambda s: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"), F.lower(s["value"]).alias("term")),
-        )
 
-    terms = F.concat(moved(left, shift), moved(right, F.col("a.end")))
-    free = F.filter(terms, lambda t: ~F.exists("base", lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"])))
-    return rows.select("id", "text_key", F.col("a.entity").alias("entity"), F.explode(free).alias("t")).select(
-        "id", "text_key", "entity", "t.start", "t.end", "t.term"
-    )
+def found_entities(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text_key, base, text) per row; the text only where it has an entity."""
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = rows.withColumn("text_key", F.xxhash64("text")).withColumn("base", base_spans(F.col("text")))
+    return rows.select("id", "text_key", "base", F.when(F.size("base") > 0, F.col("text")).alias("text"))
+
 
+def reveals(n_both: Column, n_entity: Column, n_term: Column, n_all: int, share: float) -> Column:
+    """Does the pointwise mutual information log2(n(e, t) N / (n(e) n(t))) reach ``share`` of the information content log2(N / n(e))?"""
+    content = F.log2(F.lit(float(n_all)) / n_entity)
+    return (content > 0) & (F.log2(n_both * float(n_all) / (n_entity * n_term)) >= share * content)
 
-def disclosing(docs: DataFrame, text_col: str, found: DataFrame, terms: DataFrame, support: int, share: float) -> DataFrame:
-    """(entity, term): terms that reveal over ``share`` of an entity's information content.
 
-    Counts are of distinct texts over all documents, so copies prove nothing: N of all, n(e) with the entity, n(t) with the
-    term anywhere, n(e, t) with the term near the entity.  Pointwise mutual information
-    log2(n(e, t) N / (n(e) n(t))) is compared with the information content log2(N / n(e)).
+def disclosing_terms(docs: DataFrame, text_col: str, found: DataFrame, support: int, share: float) -> DataFrame:
+    """(text_key, bad): for texts with entities, the hashes of terms that reveal over ``share`` of one of them.
 
-    n(t) is counted for terms of enough support alone: words meet that list in a join that Spark plans by its size.
+    Counts are of distinct whole texts over all documents, so copies prove nothing: N of all, n(e) with the entity, n(t)
+    with the term, n(e, t) with both, however far apart.  They are pruned before they are counted: an entity in fewer
+    than ``support`` texts has no pair; n(t) is at least the number of texts with entities that have the term, and a
+    pair that fails with this bound in place of n(t) fails with n(t).  So common words are gone before
+    documents without entities are asked for the few terms left.
     """
-    joint = terms.select("entity", "term", "text_key").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    joint = store(joint.filter(F.col("n_both") >= support), "term-entity")
-    known = joint.select("term").distinct()
-    entities = found.select("text_key", F.explode("base.entity").alias("entity")).distinct()
-    entities = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    words = rows.select(
-        F.xxhash64("text").alias("text_key"),
-        F.explode(F.split(F.lower("text"), r"\P{L}+")).alias("term"),
+    n_all = found.select("text_key").distinct().count()
+    entities = F.array_distinct(F.transform("base", lambda s: s["entity"]))
+    held = found.filter("text IS NOT NULL").select("text_key", entities.alias("entities"), terms_of(blanked(F.col("text"), F.col("base"))).alias("terms"))
+    texts = held.groupBy("text_key").agg(F.first("entities").alias("entities"), F.first("terms").alias("terms"))
+    texts = store(texts, "entity-texts")
+    frequent = texts.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    frequent = store(frequent.filter(F.col("n_entity") >= support), "frequent-entities")
+    at_least = texts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_least"))
+    at_least = at_least.filter(F.col("n_least") >= support)
+    with_entity = texts.select("text_key", F.explode("entities").alias("entity"), "terms").join(frequent, "entity")
+    pairs = with_entity.select("text_key", "entity", "n_entity", F.explode("terms").alias("term")).join(at_least, "term")
+    most = F.least("n_entity", "n_least")  # texts with both, at most
+    pairs = store(pairs.filter(reveals(most, F.col("n_entity"), F.col("n_least"), n_all, share)), "pairs")
+    joint = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"), F.first("n_entity").alias("n_entity"), F.first("n_least").alias("n_least"))
+    joint = joint.filter((F.col("n_both") >= support) & reveals(F.col("n_both"), F.col("n_entity"), F.col("n_least"), n_all, share))
+    joint = store(joint, "term-entity")
+    known = store(joint.select("term").distinct(), "known-terms")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    words = docs.select(F.xxhash64(text).alias("text_key"), F.explode(terms_of(text)).alias("term"))
+    elsewhere = words.join(known, "term", "left_semi").distinct().join(texts.select("text_key"), "text_key", "left_anti")
+    elsewhere = elsewhere.groupBy("term").agg(F.count(F.lit(1)).alias("n_more"))
+    n_term = F.col("n_least") + F.coalesce("n_more", F.lit(0))
+    bad = joint.join(elsewhere, "term", "left").filter(reveals(F.col("n_both"), F.col("n_entity"), n_term, n_all, share))
+    bad = bad.select("entity", "term")
+    return pairs.join(bad, ["entity", "term"]).groupBy("text_key").agg(F.collect_set("term").alias("bad"))
+
+
+def term_spans(text: Column, base: Column, bad: Column) -> Column:
+    """Spans of all occurrences of the ``bad`` terms outside base spans, in the form of ``base_spans``."""
+    rest = blanked(text, base)
+    forms = F.array_distinct(F.filter(F.regexp_extract_all(rest, F.lit(TERM), F.lit(0)), lambda w: F.array_contains(bad, term_hash(w))))
+    pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join(forms, "|"), F.lit(r")(?!\p{L})"))  # letters only: nothing to escape
+    return F.transform(
+        spans_of(rest, pattern),
+        lambda s: F.struct(
+            s["start"].alias("start"), F.lit(len(PATTERNS)).alias("rank"), F.lit("term").alias("kind"), s["end"].alias("end"), F.lit(0).cast("long").alias("entity")
+        ),
     )
-    spread = words.join(known, "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = found.select("text_key").distinct().agg(F.count(F.lit(1)).alias("n_all"))
-    all_counts = joint.join(entities, "entity").join(spread, "term").join(F.broadcast(total))  # one row
-    content = F.log2(F.col("n_all") / F.col("n_entity"))
-    shared = F.log2(F.col("n_both") * F.col("n_all") / (F.col("n_entity") * F.col("n_term")))
-    return all_counts.filter((content > 0) & (shared >= share * content)).select("entity", "term")
 
 
 def find_personal_data(
@@ -179,27 +194,24 @@ def find_personal_data(
 ) -> DataFrame:
     """(id, text_key, spans) per row: (start, rank, kind, end, entity) of base spans and disclosing terms.
 
-    Base spans are leftmost non-overlapping matches per kind that pass the kind's test.  Terms
-    that corpus co-occurrence shows to disclose an entity are added near it, as kind ``term``.
-    ``text_key`` is a hash of the text; together with the id it finds the row again.
+    Base spans are leftmost non-overlapping matches per kind that pass the kind's test.  Terms (letter runs of any
+    length outside base spans, in lower case) that corpus co-occurrence shows to disclose an entity are added wherever
+    they stand in a text with that entity, as kind ``term``.  ``text_key`` is a hash of the text; together with the
+    id it finds the row again.
 
-    Texts are scanned where they lie, once for patterns and once for term counts; only spans
-    and contexts move.  Null texts count as empty and have no spans.  Repeated rows give
-    repeated equal results; rows with equal ids and other texts, and null ids, are kept apart by text.
+    Texts are scanned where they lie; only texts with an entity move.  Null texts count as empty and have no spans.
+    Repeated rows give repeated equal results; rows with equal ids and other texts, and null ids, are kept apart by
+    text.  An empty table gives an empty table.
     """
     found = store(found_entities(docs, id_col, text_col), "entities")
-    terms = store(near_terms(found), "near-terms")
-    bad = disclosing(docs, text_col, found, terms, support, share)
-    added = terms.join(bad, ["entity", "term"]).groupBy("id", "text_key").agg(
-        F.collect_set(
-            F.struct("start", F.lit(len(PATTERNS)).alias("rank"), F.lit("term").alias("kind"), "end", F.lit(0).cast("long").alias("entity"))
-        ).alias("added")
+    bad = disclosing_terms(docs, text_col, found, support, share).select(F.col("text_key").alias("bad_key"), "bad")
+    held = found.filter("text IS NOT NULL").join(bad, F.col("text_key") == F.col("bad_key"), "left")
+    spans = F.when(F.col("bad").isNull(), F.col("base")).otherwise(
+        F.array_sort(F.concat("base", term_spans(F.col("text"), F.col("base"), F.col("bad"))))
     )
-    added = added.select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), "added")
-    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
-    spans = F.when(F.col("added").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "added")))
-    joined = found.join(added, same, "left")
-    return joined.select(F.col("id").alias(id_col), "text_key", spans.alias("spans"))
+    whole = held.select("id", "text_key", spans.alias("spans"))
+    rest = found.filter("text IS NULL").select("id", "text_key", F.col("base").alias("spans"))
+    return whole.unionByName(rest).withColumnRenamed("id", id_col)
 
 
 def generalised(text: Column, spans: Column) -> Column:
@@ -220,12 +232,12 @@ def generalised(text: Column, spans: Column) -> Column:
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every found span of ``text_col`` generalised; columns and rows stay as they are.
 
-    Null texts stay null.
+    Null texts stay null.  Other columns may have any names.
     """
     found = find_personal_data(docs, id_col, text_col).filter(F.size("spans") > 0)
-    found = found.select(F.col(id_col).alias("_id"), F.col("text_key").alias("_key"), F.col("spans").alias("_spans"))
-    found = found.dropDuplicates(["_id", "_key"])
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_key"))
-    joined = docs.join(found, same, "left")
-    text = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(generalised(F.col(text_col), F.col("_spans")))
-    return joined.withColumn(text_col, text).select(*docs.columns)
+    found = found.select(F.col(id_col).alias("id"), "text_key", "spans").dropDuplicates(["id", "text_key"])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    own, text = F.col("row").getField(id_col), F.col("row").getField(text_col)
+    joined = rows.join(found, own.eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("text_key")), "left")
+    clean = F.when(F.col("spans").isNull(), text).otherwise(generalised(text, F.col("spans")))
+    return joined.select(*[clean.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
