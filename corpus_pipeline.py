@@ -30,8 +30,10 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near-duplicates (5-word shingles, similarity 0.8) the document with the least id."""
-    return near_dup.one_per_likeness(docs)
+    """Of every group of near-duplicates (4-word shingles, fingerprints 4 or fewer bits apart) the document with the least id.
+
+    Nulls and empty texts have fingerprint 0 and form one group; of repeated rows one stays."""
+    return near_dup.one_per_component(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
