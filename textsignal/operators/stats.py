@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from textsignal.constants import SEED
+from textsignal.functions.hashing import digest
 
 
 def signed_rank(pairs: DataFrame, a: str, b: str) -> DataFrame:
@@ -79,6 +81,59 @@ def bootstrap_difference(
     )
 
 
+# Poisson(1) weights: the weight of a uniform number is how many of these bounds it reaches.  Beyond the last the
+# chance is under 2^-32, the grain of the uniform numbers.
+POISSON_BOUNDS = [math.fsum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(13)]
+PER_DIGEST = 4  # numbers of 32 bits in one md5
+
+
+def poisson_bootstrap(
+    df: DataFrame, id_col: str, label: str, pred_a: str, pred_b: str, replicates: int = 1000, seed: int = SEED
+) -> DataFrame:
+    """``(replicates, ci_low, ci_high, observed)`` of macro-F1(a) - macro-F1(b), 95 %, by weighted rows.
+
+    Every row has a Poisson(1) weight in every replicate, from a digest of its id: the same rows get the same
+    weights wherever they are stored, and tables that share rows share their weights.  Rows are read once; a task
+    keeps 27 sums a replicate, and these sums are all that is shuffled.  A class that a replicate has neither
+    as label nor as prediction is left out of its mean.  An empty table gives nulls.
+    """
+    if replicates % PER_DIGEST:
+        raise ValueError(f"replicates must be a multiple of {PER_DIGEST}")
+    cell = (F.col(label) * 9 + F.col(pred_a) * 3 + F.col(pred_b)).alias("cell")
+    blocks = F.explode(F.sequence(F.lit(0), F.lit(replicates // PER_DIGEST - 1))).alias("block")
+    rows = df.select(F.col(id_col).alias("_id"), cell, blocks).withColumn("_d", digest(seed, "poisson", F.col("_id"), F.col("block")))
+
+    def weight(nth: int):
+        u = F.conv(F.substring("_d", 8 * nth + 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+        return sum(((u >= F.lit(bound)).cast("int") for bound in POISSON_BOUNDS), F.lit(0))
+
+    sums = [F.sum(weight(i)).alias(f"w{i}") for i in range(PER_DIGEST)]
+    cells = rows.groupBy("block", "cell").agg(*sums)
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("nth"), F.col(f"w{i}").alias("w")) for i in range(PER_DIGEST)])).alias("e")
+    cells = cells.select((F.col("block") * PER_DIGEST).alias("_first"), "cell", each)
+    cells = cells.select((F.col("_first") + F.col("e.nth")).alias("replicate"), "cell", F.col("e.w").alias("w"))
+    plain = df.groupBy(cell).agg(F.count(F.lit(1)).alias("w")).select(F.lit(-1).alias("replicate"), "cell", "w")
+    gold, a, b = F.floor(F.col("cell") / 9), F.floor(F.col("cell") / 3) % 3, F.col("cell") % 3
+
+    def macro(pred):
+        parts, seen = [], []
+        for c in range(3):
+            of = lambda cond: F.sum(F.when(cond, F.col("w")).otherwise(0))
+            size = of(gold == c) + of(pred == c)
+            parts.append(F.when(size > 0, 2 * of((gold == c) & (pred == c)) / size).otherwise(0.0))
+            seen.append((size > 0).cast("int"))
+        return F.try_divide(parts[0] + parts[1] + parts[2], seen[0] + seen[1] + seen[2])
+
+    diffs = plain.unionByName(cells).groupBy("replicate").agg((macro(a) - macro(b)).alias("d"))
+    drawn = F.when(F.col("replicate") >= 0, F.col("d"))
+    return diffs.agg(
+        F.count(drawn).alias("replicates"),
+        F.percentile(drawn, F.lit(0.025)).alias("ci_low"),
+        F.percentile(drawn, F.lit(0.975)).alias("ci_high"),
+        F.max(F.when(F.col("replicate") < 0, F.col("d"))).alias("observed"),
+    )
+
+
 def rank_sum_auc(df: DataFrame, score: str, positive: str, buckets: int = 4096) -> DataFrame:
     """Exact area under the ROC curve of a score in [0, 1], ties counted half.
 

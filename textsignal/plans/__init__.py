@@ -7,6 +7,7 @@ from textsignal.plans import (  # noqa: F401
     ensembles,
     evaluation,
     features,
+    mechanisms,
     replays,
     routing,
     sparse,

@@ -269,14 +269,45 @@ def h16(t):
     return rounded(st.signed_rank(pairs, "first", "second"))
 
 
-@query("h17_bootstrap")
-def h17(t):
+def paired_preds(t) -> DataFrame:
+    """(doc_id, label, pa, pb): the classes that models a and b give."""
     rows = preds(t).filter("model in ('a', 'b')")
-    pairs = rows.groupBy("doc_id", "label").agg(
+    return rows.groupBy("doc_id", "label").agg(
         F.max(F.when(F.col("model") == "a", F.col("pred"))).alias("pa"),
         F.max(F.when(F.col("model") == "b", F.col("pred"))).alias("pb"),
     )
-    return rounded(st.bootstrap_difference(pairs, "label", "pa", "pb"))
+
+
+@query("h17_bootstrap")
+def h17(t):
+    return rounded(st.bootstrap_difference(paired_preds(t), "label", "pa", "pb"))
+
+
+SQL_WEIGHT = " + ".join(
+    f"(cast(('0x' || substr(d, 8 * nth + 1, 8)) AS UBIGINT) / 4294967296.0::DOUBLE >= {bound!r}::DOUBLE)::INT" for bound in st.POISSON_BOUNDS
+)
+
+
+def sql_macro(pred: str) -> str:
+    sizes = [f"coalesce(sum(w) FILTER (label = {c}), 0) + coalesce(sum(w) FILTER ({pred} = {c}), 0)" for c in range(3)]
+    parts = [f"CASE WHEN {n} > 0 THEN 2.0::DOUBLE * coalesce(sum(w) FILTER (label = {c} AND {pred} = {c}), 0) / ({n}) ELSE 0 END" for c, n in enumerate(sizes)]
+    return f"({' + '.join(parts)}) / ({' + '.join(f'({n} > 0)::INT' for n in sizes)})"
+
+
+@query(
+    "h17_poisson_bootstrap",
+    f"""WITH pairs AS (SELECT doc_id, label, max(pred) FILTER (model = 'a') AS pa, max(pred) FILTER (model = 'b') AS pb FROM preds
+      WHERE model IN ('a', 'b') GROUP BY ALL),
+    digests AS (SELECT *, md5('42|poisson|' || doc_id || '|' || block) AS d FROM pairs, (SELECT unnest(range(250)) AS block)),
+    drawn AS (SELECT label, pa, pb, block * 4 + nth AS replicate, {SQL_WEIGHT} AS w FROM digests, (SELECT unnest(range(4)) AS nth)),
+    diffs AS (SELECT replicate, {sql_macro('pa')} - {sql_macro('pb')} AS d FROM
+      (SELECT * FROM drawn UNION ALL SELECT label, pa, pb, -1, 1 FROM pairs) GROUP BY replicate)
+    SELECT count(*) FILTER (replicate >= 0) AS replicates, round(quantile_cont(d, 0.025) FILTER (replicate >= 0), 6) AS ci_low,
+      round(quantile_cont(d, 0.975) FILTER (replicate >= 0), 6) AS ci_high, round(max(d) FILTER (replicate < 0), 6) AS observed FROM diffs""",
+    "preds",
+)
+def h17b(t):
+    return rounded(st.poisson_bootstrap(paired_preds(t), "doc_id", "label", "pa", "pb"))
 
 
 @query(

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from textsignal.constants import KEPT_NEGATIONS, STOP_WORDS
 from textsignal.functions import clean as c
-from textsignal.operators.tokens import full_pipeline, lemmatize, stem_vocabulary
+from textsignal.operators.tokens import IRREGULAR_NOUNS, NOUN_ENDINGS, full_pipeline, lemmatize, noun_lemmas, stem_vocabulary
 from textsignal.plans.registry import query
 
 
@@ -152,6 +152,32 @@ def b14(t):
     return out.select("doc_id", F.array_join("tokens", " ").alias("out"))
 
 
+SQL_ENDINGS = ", ".join(f"('{end}', '{to}')" for end, to in NOUN_ENDINGS)
+SQL_IRREGULAR = ", ".join(f"('{token}', '{lemma}')" for token, lemma in IRREGULAR_NOUNS.items())
+
+
+@query(
+    "b14_noun_lemmas",
+    f"""
+    WITH toks AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '\\s+'), lambda w: w <> '') AS ts FROM documents),
+    flat AS (SELECT doc_id, unnest(ts) AS token, generate_subscripts(ts, 1) AS pos FROM toks),
+    vocab AS (SELECT DISTINCT token FROM flat),
+    irregular(token, lemma) AS (VALUES {SQL_IRREGULAR}),
+    forms AS (SELECT token, token AS lemma FROM vocab UNION
+      SELECT token, left(token, length(token) - length(e)) || r FROM vocab, (VALUES {SQL_ENDINGS}) AS x(e, r) WHERE ends_with(token, e)),
+    best AS (SELECT token, min((length(lemma), lemma)) AS b FROM forms WHERE lemma IN (SELECT token FROM vocab)
+      AND token NOT IN (SELECT token FROM irregular) GROUP BY token),
+    dict AS (SELECT token, b[2] AS lemma FROM best UNION ALL SELECT token, lemma FROM irregular)
+    SELECT doc_id, string_agg(coalesce(lemma, token), ' ' ORDER BY pos) AS out FROM flat LEFT JOIN dict USING (token) GROUP BY doc_id
+    """,
+)
+def b14n(t):
+    """Plural nouns by their base form, wherever the corpus knows it."""
+    toks = t.documents.select("doc_id", c.words(F.lower("text")).alias("tokens"))
+    lemmas = noun_lemmas(toks.select(F.explode("tokens").alias("token")))
+    return lemmatize(toks, "doc_id", "tokens", lemmas).select("doc_id", F.array_join("tokens", " ").alias("out"))
+
+
 @query("b15_stem")
 def b15(t):
     toks = t.social.select(c.pipeline_tokens(F.col("text")).alias("tokens"))
