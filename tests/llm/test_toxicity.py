@@ -1,6 +1,10 @@
+import zlib
+
 import numpy as np
 import pytest
 
+from textsignal.llm.q_toxicity import op2
+from textsignal.llm.registry import Source
 from textsignal.llm.toxicity import FactorizationMachine, fit, score_toxicity, train
 
 
@@ -14,14 +18,41 @@ def test_logit_is_the_sum_over_pairs():
 
 def test_learns_an_interaction_that_linear_weights_miss():
     rows = [np.array(r, np.int64) for r in ([0], [1], [0, 1], [])] * 50
-    y = np.array([0, 0, 1, 0] * 50, float)
-    y_xor = np.array([1, 1, 0, 0] * 50, float)
-    for target in (y, y_xor):
-        m = FactorizationMachine(np.arange(2), 0.0, np.zeros(2), np.random.default_rng(1).normal(0, 0.1, (2, 4)))
-        fit(m, rows, target, np.ones(len(y)))
+    for target in (np.array([0, 0, 1, 0] * 50, float), np.array([1, 1, 0, 0] * 50, float)):
+        m = FactorizationMachine(np.arange(2), 0.0, np.zeros(2), np.zeros((2, 4)))
+        fit(m, rows, target, np.ones(len(target)))
         assert ((m.probability(rows[:4]) > 0.5) == target[:4]).all()
 
 
+@pytest.mark.parametrize("kind", ["either but not both", "both"])
+def test_training_finds_the_pair_among_noise(make, kind):
+    """2,000 texts of two telling words and twenty others, all equally common in both classes where one of the two is asked for."""
+    rng = np.random.default_rng(3)
+    words = [f"{a}{b}" for a in "abcd" for b in "vwxyz"] + ["insult", "group"]
+    held = rng.random((2000, 22)) < 0.5
+    y = (held[:, 20] ^ held[:, 21]) if kind != "both" else held[:, 20] & held[:, 21]
+    docs = make([(i, " ".join(w for w, h in zip(words, row) if h)) for i, row in enumerate(held.tolist())], "doc_id long, text string")
+    labels = make([(i, int(t)) for i, t in enumerate(y) if i % 2], "doc_id long, toxic int")
+    model = train(docs, labels, per_class=600)
+    assert len(model.w) >= 2
+    scored = {r.doc_id: r.score for r in score_toxicity(docs, model).collect()}
+    right = [(scored[i] > 0.5) == bool(y[i]) for i in range(0, 2000, 2)]
+    assert np.mean(right) >= 0.95
+
+
+def test_the_query(spark):
+    """Contract columns, held-out rows by the id's checksum, and better than chance by far on rows that taught nothing."""
+    sf = "/root/testdata/sf0.1"
+    rows = op2(Source(spark, sf)).collect()
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert len(rows) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and r.predicted == int(r.score >= 0.3) and 0 <= r.score <= 1 for r in rows)
+    held = [(r.score, labels[r.doc_id]) for r in rows if r.held_out and labels.get(r.doc_id) is not None]
+    ones, zeros = ([s for s, t in held if t == c] for c in (1, 0))
+    assert np.mean([s >= 0.3 for s in ones]) >= 0.75 and np.mean([s >= 0.3 for s in zeros]) <= 0.01
+    assert np.mean([a > b for a in ones for b in zeros]) >= 0.95
+
+
 def test_held_out_and_edges(spark, make, edge_docs, no_docs):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
