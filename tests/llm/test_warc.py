@@ -4,7 +4,10 @@ import random
 
 from pyspark.sql import functions as F
 
-from textsignal.llm.warc import first_pages, gaps, member, page_record, read_archives, records, salvage, write_archives
+import gzip
+import time
+
+from textsignal.llm.warc import archive_files, first_pages, gaps, member, page_record, parse_archives, read_archives, records, salvage, spoiled, write_archives
 
 
 def archive(n, compress):
@@ -48,7 +51,8 @@ def test_damage_costs_the_damaged_record_alone():
 def test_junk_and_cuts():
     parts = archive(4, True)
     data = b"\x1f\x8b\x08junk" + parts[0] + b"WARC/1.1\r\nbroken" + parts[1] + parts[2][:50] + parts[3] + parts[0][:-9]
-    assert [k for k, _, _ in kinds(data)] == ["gap", "record", "gap", "record", "gap", "record", "gap"]
+    # The last member lacks its end, but its record is whole and is recovered.
+    assert [k for k, _, _ in kinds(data)] == ["gap", "record", "gap", "record", "gap", "record", "record", "gap"]
 
 
 def test_pages_round_trip(spark, tmp_path):
@@ -90,3 +94,35 @@ def test_edges(spark, make, tmp_path):
     assert write_archives(pages.limit(0), f"file://{tmp_path}/n") == 0
     none = read_archives(spark, f"file://{tmp_path}/n")
     assert none.agg(F.count("*")).first()[0] == 0
+
+
+def test_members_of_several_records():
+    """A whole file as one gzip member, sound, damaged inside, cut off, and followed by others."""
+    plain = archive(6, False)
+    sound = list(salvage(gzip.compress(b"".join(plain))))
+    assert [f.kind for f in sound] == ["record"] * 6 and sound[1].inner == (len(plain[0]), len(plain[0]) + len(plain[1]))
+    hurt = plain[1].replace(b"<p>1", b"<p>9", 1)
+    found = list(salvage(gzip.compress(b"".join([plain[0], hurt, *plain[2:]])) + member(plain[3])))
+    assert [f.kind for f in found] == ["record", "gap", *["record"] * 5] and found[1].reason == "block digest differs"
+    whole = gzip.compress(b"".join(archive(400, False)), 1)
+    cut = list(salvage(whole[: len(whole) // 2]))
+    assert cut[-1].kind == "gap" and sum(f.kind == "record" for f in cut) > 50
+    broken = bytearray(whole)
+    broken[len(whole) // 2] ^= 255
+    left = list(salvage(bytes(broken) + member(plain[4])))
+    assert left[-1].headers["warc-record-id"] == "<urn:page:4>" and sum(f.kind == "record" for f in left) > 50
+
+
+def test_many_failures_take_linear_time():
+    junk = b"".join(b"\x1f\x8b\x08junk%d" % i for i in range(60_000))
+    started = time.time()
+    assert [(f.kind, f.start, f.end) for f in salvage(junk + archive(1, True)[0])][0] == ("gap", 0, len(junk))
+    assert time.time() - started < 20
+
+
+def test_a_drill_loses_the_spoiled_records_alone(spark, tmp_path):
+    pages = spark.range(300).selectExpr("id AS page_id", "'u' AS url", "repeat(concat('<p>', id), id % 7) AS html")
+    write_archives(pages, f"file://{tmp_path}/d")
+    parsed = parse_archives(spoiled(archive_files(spark, f"file://{tmp_path}/d"), 20, 7)).persist()
+    assert {r.page_id for r in records(parsed).collect()} == {i for i in range(300) if i % 20 != 7}
+    assert gaps(parsed).count() == 15 and parsed.filter("inner_start IS NOT NULL").count() == 0

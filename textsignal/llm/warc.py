@@ -24,7 +24,7 @@ _VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 _MEMBER = b"\x1f\x8b\x08"
 
 PARSED = (
-    "archive string, start long, end long, kind string, reason string, record_type string, record_id string, "
+    "archive string, start long, end long, inner_start long, inner_end long, kind string, reason string, record_type string, record_id string, "
     "target_uri string, refers_to string, payload_digest string, payload_bytes long, payload binary"
 )
 _FIELDS = [c.split()[0] for c in PARSED.split(", ")]
@@ -149,6 +149,7 @@ class Found:
     reason: str | None = None
     headers: dict[str, str] = field(default_factory=dict)
     block: bytes = b""
+    inner: tuple[int, int] | None = None  # range inside the member, if it holds more than one record
 
 
 class Damaged(ValueError):
@@ -183,22 +184,30 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
     return headers, block, end + 4
 
 
-def parse_member(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
-    """The record in the gzip member at ``at``; end is the member's end."""
+def inflated(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """What the gzip member at ``at`` holds, its end, and why it could not be read to its end, if so."""
     reader, view, parts, to = zlib.decompressobj(31), memoryview(data), [], at
     try:
         while not reader.eof and to < len(data):
             parts.append(reader.decompress(view[to : to + STEP]))
             to = min(to + STEP, len(data))
     except zlib.error as e:
-        raise Damaged(f"gzip: {str(e)[:80]}") from None
+        return _rest_of(data, at, parts), to, f"gzip: {str(e)[:80]}"
     if not reader.eof:
-        raise Damaged("gzip member without end")
-    record = b"".join(parts)
-    headers, block, end = parse_record(record)
-    if end != len(record):
-        raise Damaged("bytes after the record in its member")
-    return headers, block, to - len(reader.unused_data)
+        return b"".join(parts), to, "gzip member without end"
+    return b"".join(parts), to - len(reader.unused_data), None
+
+
+def _rest_of(data: bytes, at: int, parts: list[bytes]) -> bytes:
+    """The whole steps that were read before a failure, and the bytes of the failing step that come before it."""
+    reader, done = zlib.decompressobj(31), at + STEP * len(parts)
+    out = [reader.decompress(data[at:done])] if parts else []
+    try:
+        for i in range(done, min(done + STEP, len(data)), 64):
+            out.append(reader.decompress(data[i : i + 64]))
+    except zlib.error:
+        pass
+    return b"".join(out)
 
 
 def starts_record(data: bytes, at: int) -> bool:
@@ -209,32 +218,36 @@ def starts_record(data: bytes, at: int) -> bool:
         return False
 
 
-def next_start(data: bytes, at: int) -> int:
-    """Next place at or after ``at`` that looks like a member or version line, else the end."""
-    line = _VERSION_LINE.search(data, at)
-    stop = line.start() if line else len(data)
-    place = data.find(_MEMBER, at, stop + 2)
-    while 0 <= place < stop:
-        if starts_record(data, place):
-            return place
-        place = data.find(_MEMBER, place + 1, stop + 2)
-    return stop
+class Starts:
+    """Places that look like a member or a version line; asked in ascending order, it reads the archive once."""
 
+    def __init__(self, data: bytes):
+        self.data, self.line = data, -1
 
-def salvage(data: bytes) -> Iterator[Found]:
-    """All records of an archive that pass their checks, and the byte ranges between them that do not.
+    def after(self, at: int) -> int:
+        """The next such place at or after ``at``, else the end."""
+        if self.line < at:
+            found = _VERSION_LINE.search(self.data, at)
+            self.line = found.start() if found else len(self.data)
+        place = self.data.find(_MEMBER, at, self.line + 2)
+        while 0 <= place < self.line:
+            if starts_record(self.data, place):
+                return place
+            place = self.data.find(_MEMBER, place + 1, self.line + 2)
+        return self.line
 
-    After a failed check the search goes on one byte later for the next gzip member that begins with a version
-    line, or the next plain version line.  Neighbouring failures are one gap, with the first reason.
-    """
+
+def salvage_plain(data: bytes) -> Iterator[Found]:
+    """Records and gaps of uncompressed bytes; after a failed check the search goes on at the next version line."""
     at, gap, reason = 0, -1, None
     while at < len(data):
         try:
-            headers, block, end = parse_member(data, at) if data.startswith(_MEMBER, at) else parse_record(data, at)
+            headers, block, end = parse_record(data, at)
         except Damaged as e:
             if gap < 0:
                 gap, reason = at, str(e)
-            at = next_start(data, at + 1)
+            found = _VERSION_LINE.search(data, at + 1)
+            at = found.start() if found else len(data)
             continue
         if gap >= 0:
             yield Found(gap, at, "gap", reason)
@@ -245,9 +258,57 @@ def salvage(data: bytes) -> Iterator[Found]:
         yield Found(gap, len(data), "gap", reason)
 
 
+def salvage(data: bytes) -> Iterator[Found]:
+    """All records of an archive that pass their checks, and the byte ranges between them that do not.
+
+    After a failed check the search goes on one byte later for the next gzip member that begins with a version
+    line, or the next plain version line.  Neighbouring failures are one gap, with the first reason.
+
+    A member may hold any number of records: each is a record with the member's range and its own range inside
+    (``inner``), and bytes inside that belong to none are a gap with the member's range.  A member that cannot be
+    read to its end is a gap; the records that it held before the damage are recovered, with an empty range
+    at its start.
+    """
+    starts, at, gap, reason = Starts(data), 0, -1, None
+    while at < len(data):
+        inside, why, end = None, None, at
+        if data.startswith(_MEMBER, at):
+            text, end, why = inflated(data, at)
+            inside = [f for f in salvage_plain(text) if why is None or f.kind == "record"]
+            if why is None and not inside:
+                why = "an empty member"
+            elif why is None and all(f.kind == "gap" for f in inside):
+                why = inside[0].reason
+        else:
+            try:
+                headers, block, end = parse_record(data, at)
+            except Damaged as e:
+                why = str(e)
+        recovered = [f for f in inside or () if f.kind == "record"]
+        if gap >= 0 and (why is None or recovered):
+            yield Found(gap, at, "gap", reason)
+            gap = -1
+        if why is not None:
+            yield from (Found(at, at, "record", None, f.headers, f.block, (f.start, f.end)) for f in recovered)
+            if gap < 0:
+                gap, reason = at, why
+            at = starts.after(at + 1)
+            continue
+        if inside is None:
+            yield Found(at, end, "record", None, headers, block)
+        elif len(inside) == 1:
+            yield Found(at, end, "record", None, inside[0].headers, inside[0].block)
+        else:
+            yield from (Found(at, end, f.kind, f.reason, f.headers, f.block, (f.start, f.end)) for f in inside)
+        at = end
+    if gap >= 0:
+        yield Found(gap, len(data), "gap", reason)
+
+
 def described(archive: str, found: Found) -> tuple:
+    place = (archive, found.start, found.end, *(found.inner or (None, None)))
     if found.kind == "gap":
-        return (archive, found.start, found.end, "gap", found.reason, *[None] * 7)
+        return (*place, "gap", found.reason, *[None] * 7)
     h = found.headers
     http, _, body = found.block.partition(b"\r\n\r\n")
     said = re.search(rb"(?im)^content-length:\s*(\d+)", http)
@@ -255,21 +316,25 @@ def described(archive: str, found: Found) -> tuple:
     n = int(said[1]) if said else len(body)
     claimed = h.get("warc-payload-digest", "").removeprefix("sha1:") or None
     if not revisit and (n != len(body) or claimed not in (None, digest(body))):
-        return (archive, found.start, found.end, "gap", "payload differs from its length or digest", *[None] * 7)
+        return (*place, "gap", "payload differs from its length or digest", *[None] * 7)
     return (
-        archive, found.start, found.end, "record", None, h.get("warc-type"), h.get("warc-record-id"), h.get("warc-target-uri"),
+        *place, "record", None, h.get("warc-type"), h.get("warc-record-id"), h.get("warc-target-uri"),
         h.get("warc-refers-to"), claimed, n, None if revisit else body,
     )
 
 
-def read_archives(spark, folder: str) -> DataFrame:
-    """A row per record and per quarantined gap of all ``*.warc`` and ``*.warc.gz`` files below ``folder``.
+def archive_files(spark, folder: str) -> DataFrame:
+    """(path, content) of all ``*.warc`` and ``*.warc.gz`` files below ``folder``; the writer bounds their size."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{warc,warc.gz}").load(folder)
+    return files.select("path", "content")
 
-    ``kind`` is ``record`` or ``gap``; gaps have ``reason`` and the byte range ``start``..``end`` alone.
-    Archives are read by Spark, one per task row; the writer bounds their size.
+
+def parse_archives(files: DataFrame) -> DataFrame:
+    """A row per record and per quarantined gap of archives given as (path, content), one archive per task row.
+
+    ``kind`` is ``record`` or ``gap``; gaps have ``reason`` and the byte range ``start``..``end`` alone.  ``inner_start``
+    and ``inner_end`` are the range inside a member that holds several records, else null.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{warc,warc.gz}").load(folder)
-    files = files.select("path", "content")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -279,13 +344,42 @@ def read_archives(spark, folder: str) -> DataFrame:
                     rows.append(described(path, found))
                     size += len(found.block)
                     if size > 4 << 20:
-                        yield pd.DataFrame(rows, columns=_FIELDS)
+                        yield _frame(rows)
                         rows, size = [], 0
-                yield pd.DataFrame(rows, columns=_FIELDS)
+                yield _frame(rows)
 
     return files.mapInPandas(parse, PARSED)
 
 
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    whole = ["start", "end", "inner_start", "inner_end", "payload_bytes"]
+    return pd.DataFrame(rows, columns=_FIELDS).astype({c: "Int64" for c in whole})
+
+
+def read_archives(spark, folder: str) -> DataFrame:
+    """All records and gaps of the archives below ``folder``, as ``parse_archives`` gives them."""
+    return parse_archives(archive_files(spark, folder))
+
+
+def spoiled(files: DataFrame, every: int, rest: int) -> DataFrame:
+    """``files`` with a byte turned over in the middle of the records of all pages whose id modulo ``every`` is ``rest``.
+
+    Nothing is written: a drill for the reader, on archives that are otherwise sound.
+    """
+
+    def spoil(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                hurt = bytearray(content)
+                for found in salvage(content):
+                    page = re.fullmatch(r"<urn:page:(-?[0-9]+)>", found.headers.get("warc-record-id", ""))
+                    if page and int(page[1]) % every == rest:
+                        hurt[(found.start + found.end) // 2] ^= 0xFF
+                yield pd.DataFrame({"path": [path], "content": [bytes(hurt)]})
+
+    return files.mapInPandas(spoil, "path string, content binary")
+
+
 def gaps(parsed: DataFrame) -> DataFrame:
     """The log of quarantined byte ranges."""
     return parsed.filter("kind = 'gap'").select("archive", "start", "end", "reason")
