@@ -49,6 +49,23 @@ def test_blocks_of_the_benchmark_add_up(spark, make):
     assert one.filter("n_hit = 14").count() == 8
 
 
+def test_a_long_item_is_cut_without_losing_windows(make):
+    words = [f"w{j}" for j in range(500)]
+    bench = make([(1, " ".join(words)), (2, "short item")], "item_id long, text string")
+    texts = [" ".join(words[s : s + 10]) for s in range(491)] + ["x " + " ".join(words) + " y", None, "a short item", "w1 w2 w3"]
+    docs = make(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.items) for r in decontaminate(docs, bench, block_words=60).collect()}
+    assert got == {r.doc_id: (r.n_hit, r.items) for r in decontaminate(docs, bench).collect()}
+    assert all(got[i] == (10, ["1"]) for i in range(491)) and got[491][0] == 500 and got[493] == (2, ["2"]) and got[494][0] == 0
+
+
+def test_clashing_columns(make):
+    docs = make([("w1 w2 w3", "f", 1, "r")], "text string, _foundation string, found int, row string")
+    bench = make([(1, "w1 w2"), (2, "w2 w3")], "item_id long, text string")
+    for block_words in (1, 100):
+        assert list(map(tuple, decontaminate(docs, bench, block_words=block_words).collect())) == [("w1 w2 w3", "f", 1, "r", 3, 3, [(0, 3)], ["1", "2"])]
+
+
 def test_edges(make, edge_docs, no_docs):
     bench = make([(1, None), (2, ""), (3, "a"), (None, "no id"), (5, "word " * 12), (5, "word " * 12)], "item_id long, text string")
     got = {(r.doc_id, r.text): r for r in decontaminate(edge_docs, bench).collect()}

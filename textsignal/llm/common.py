@@ -25,6 +25,11 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in taken])
 
 
+def box(df: DataFrame, *replaced: str) -> Column:
+    """All columns of ``df`` but those an operator replaces as one column ``row``: names inside it clash with none."""
+    return F.struct(*[F.col(f"`{c}`") for c in without(df, *replaced).columns]).alias("row")
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the fold that no model learns from: crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2, F.lit(False))

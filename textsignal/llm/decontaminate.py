@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from textsignal.llm.common import without
+from textsignal.llm.common import box, store
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # the words of ``words_of`` in lower-cased text, for Spark
 
 # One pass over the bytes: A-Z to a-z, every ASCII byte that belongs to no word to a space.
 _WORDS = bytes(
@@ -93,21 +95,25 @@ def search(words: list[bytes], tables: list[Patterns]) -> tuple[list[tuple[int,
     return spans, items
 
 
-def pattern_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str, str]]]:
-    """Distinct items, block by block.
+def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_words: int) -> tuple[DataFrame, int]:
+    """(item, text, block) of distinct items, and the number of blocks; a block holds about ``block_words`` words.
 
-    The items' size is summed first; a block holds about ``block_words`` words (a single
-    longer item makes a longer block), whatever the size of the benchmark.
+    An item longer than a block is cut into pieces that overlap by a window less one word, so no window is lost and
+    no block is much longer than the others.
     """
     items = benchmark.select(
         F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(text_col).alias("text")
     ).filter("text IS NOT NULL")
+    items = items.distinct()
+    words = F.regexp_extract_all(F.translate("text", UPPER, LOWER), F.lit(WORD), F.lit(0))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - window, F.lit(0)), F.lit(block_words))
+    pieces = F.transform(starts, lambda i: F.array_join(F.slice("words", i + 1, block_words + window - 1), " "))
+    long = F.length("text") > block_words  # else it has fewer words than that, whatever they are
+    cut = items.filter(long).withColumn("words", words).select("item", F.explode(pieces).alias("text"))
+    items = store(items.filter(~long).unionByName(cut), "benchmark-items")
     size = items.agg(F.sum(F.length("text") / 6)).first()[0] or 0.0
     n = int(size // block_words) + 1
-    items = items.distinct().withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n)))
-    for b in range(n):
-        rows = items.filter(F.col("block") == b).select("item", "text").collect()
-        yield [(r["item"], r["text"]) for r in rows]
+    return items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n))), n
 
 
 def decontaminate(
@@ -126,33 +132,66 @@ def decontaminate(
     window.  Adds ``n_words``, ``n_hit`` (words inside any occurrence), ``hit_spans`` (merged
     word spans, end exclusive) and ``items`` (ids of the items found, sorted as strings).
 
-    Texts never move: each is searched where it is read.  Items are searched block by
-    block, so the tables sent to the executors have a bound whatever the size of the benchmark.
+    A benchmark of one block is searched for where the texts are read; texts never move.  A larger one is
+    searched for block by block, one scan of the stored documents each: a block's tables are built, sent to the
+    executors and taken back before the next, so neither driver nor executors ever hold more than one block's.
 
     A null or empty text has no words and no hits; null or wordless items match nothing; a null
     item id counts as ``null``; repeated items and repeated rows give repeated equal results;
     an empty benchmark leaves every count 0.  Other columns stay; a column with the
     name of a result is replaced.
     """
-    spark = docs.sparkSession
-    out = without(docs, "n_words", "n_hit", "hit_spans", "items", "_found")
-    parts = []
-    for k, items in enumerate(pattern_blocks(benchmark, item_col, item_text_col, block_words)):
-        shared = spark.sparkContext.broadcast(compile_patterns(items, window))
-        name = f"_found{k}"
-        out = out.withColumn(name, _searcher(shared)(F.col(text_col)))
-        parts.append(F.col(name))
-    if len(parts) == 1:
-        merged = parts[0]
-    else:
-        merged = F.pandas_udf(_merge, RESULT)(F.array(*parts))
-    out = out.withColumn("_found", merged)
-    fields = ["n_words", "n_hit", "hit_spans", "items"]
+    results = ["n_words", "n_hit", "hit_spans", "items"]
+    items, n = benchmark_blocks(benchmark, item_col, item_text_col, window, block_words)
+    text = F.col("row").getField(text_col)
+    boxed = docs.select(box(docs, *results))
+    if n == 1:
+        shared = _shared(items, window)
+        out = boxed.withColumn("found", _searcher(shared)(text))
+        return out.select("row.*", *[F.col("found")[f].alias(f) for f in results])
+    rows = store(boxed.withColumn("number", F.monotonically_increasing_id()), "numbered")
+    parts = None
+    for block in range(n):
+        shared = _shared(items.filter(F.col("block") == block), window)
+        hits = rows.select("number", _searcher(shared)(text).alias("found")).filter("found.n_hit > 0")
+        hits = store(hits.select("number", "found.hit_spans", "found.items"), "block-hits")
+        shared.destroy()
+        parts = hits if parts is None else parts.unionByName(hits)
+    merged = parts.groupBy("number").agg(
+        F.sort_array(F.flatten(F.collect_list("hit_spans"))).alias("spans"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    spans = F.coalesce(_merged(F.col("spans")), none)
+    out = rows.join(merged, "number", "left").withColumn("hit_spans", spans)
+    n_words = F.size(F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0)))
     return out.select(
-        *[c for c in out.columns if not c.startswith("_found")], *[F.col("_found")[f].alias(f) for f in fields]
+        "row.*",
+        n_words.cast("long").alias("n_words"),
+        F.aggregate("hit_spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"]).alias("n_hit"),
+        "hit_spans",
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
 
 
+def _shared(items: DataFrame, window: int):
+    """Broadcast tables of one block."""
+    rows = items.select("item", "text").collect()  # about block_words words
+    return items.sparkSession.sparkContext.broadcast(compile_patterns([(r["item"], r["text"]) for r in rows], window))
+
+
+def _merged(spans: Column) -> Column:
+    """Sorted spans without overlaps."""
+
+    def step(acc: Column, s: Column) -> Column:
+        last = F.try_element_at(acc, F.lit(-1))
+        grown = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        joined = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(grown))
+        return F.when((F.size(acc) > 0) & (s["start"] <= last["end"]), joined).otherwise(F.concat(acc, F.array(s)))
+
+    return F.aggregate(spans, F.array().cast("array<struct<start:bigint,end:bigint>>"), step)
+
+
 def _searcher(shared):
     @F.pandas_udf(RESULT)
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -167,20 +206,3 @@ def _searcher(shared):
             yield pd.DataFrame(rows, columns=["n_words", "n_hit", "hit_spans", "items"])
 
     return find
-
-
-def _merge(parts: pd.Series) -> pd.DataFrame:
-    """Results of several benchmark blocks over one text."""
-    rows = []
-    for blocks in parts:
-        found = sorted((s["start"], s["end"]) for b in blocks for s in b["hit_spans"])
-        spans: list[list[int]] = []
-        for start, end in found:
-            if spans and start <= spans[-1][1]:
-                spans[-1][1] = max(end, spans[-1][1])
-            else:
-                spans.append([start, end])
-        items = sorted({i for b in blocks for i in b["items"]})
-        hit = sum(end - start for start, end in spans)
-        rows.append((blocks[0]["n_words"], hit, [{"start": s, "end": e} for s, e in spans], items))
-    return pd.DataFrame(rows, columns=["n_words", "n_hit", "hit_spans", "items"])

@@ -12,14 +12,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from textsignal.llm.common import store, without
+from textsignal.llm.common import box, store
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN = "und"
 PER_LANGUAGE = 1500  # sampled documents per language, in expectation
 ROUNDS = 4
 SMOOTHING = 0.05
-RUN = 256  # longer runs of letters are scored in parts of so many bytes
+RUN = 4096  # bytes of a word that are summed over at once
+PLAIN = 24  # bytes of a word up to which its probability is a plain number in training
 CELLS = 1 << 18  # positions scored at once
 CACHE = 200_000  # words whose scores a task remembers
 GROUP = 2_000_000  # characters whose new words are scored together
@@ -132,6 +133,9 @@ class Pieces:
         for rows, letters, lengths in self.blocks(words):
             lang, weight = langs[rows], weights[rows]
             steps = [list(self.matches(letters, lengths, i)) for i in range(letters.shape[1])]
+            if letters.shape[1] > PLAIN:
+                self._count_in_logs(counts, steps, lengths, weight, lang, p)
+                continue
             ahead = np.zeros((letters.shape[1] + 1, len(rows)))
             back = np.zeros_like(ahead)
             ahead[0] = 1
@@ -148,6 +152,38 @@ class Pieces:
                     np.add.at(counts, (piece, lang[at]), ahead[i][at] * q * share[at])
         return counts
 
+    def _count_in_logs(self, counts: np.ndarray, steps: list, lengths: np.ndarray, weight: np.ndarray, lang: np.ndarray, p: np.ndarray) -> None:
+        """The same for long words, whose probabilities are too small for plain numbers."""
+        every = np.arange(len(lengths))
+        ahead = np.full((len(steps) + 1, len(lengths)), -np.inf)
+        back = np.full_like(ahead, -np.inf)
+        ahead[0] = 0
+        back[lengths, every] = 0
+        with np.errstate(divide="ignore"):
+            log_p = np.log(p)
+        for i, found in enumerate(steps):
+            for d, at, piece in found:
+                ahead[i + d][at] = np.logaddexp(ahead[i + d][at], ahead[i][at] + log_p[piece, lang[at]])
+        total = ahead[lengths, every]
+        for i in range(len(steps) - 1, -1, -1):
+            for d, at, piece in steps[i]:
+                q = log_p[piece, lang[at]] + back[i + d][at]
+                back[i][at] = np.logaddexp(back[i][at], q)
+                share = np.exp(ahead[i][at] + q - total[at], where=np.isfinite(total[at]), out=np.zeros(len(at)))
+                np.add.at(counts, (piece, lang[at]), share * weight[at])
+
+
+def parts_of(runs) -> tuple[list[bytes], list[int]]:
+    """Coded words, those over ``RUN`` bytes in parts, and the run that each part comes from."""
+    parts: list[bytes] = []
+    owner: list[int] = []
+    for i, run in enumerate(runs):
+        coded = b"\0" + run.encode("utf-8", "surrogatepass")
+        for at in range(0, len(coded), RUN):
+            parts.append(coded[at : at + RUN])
+            owner.append(i)
+    return parts, owner
+
 
 @dataclass
 class LanguageModel:
@@ -156,13 +192,7 @@ class LanguageModel:
     p: np.ndarray
 
     def score_runs(self, runs: list[str]) -> np.ndarray:
-        parts: list[bytes] = []
-        owner: list[int] = []
-        for i, run in enumerate(runs):
-            coded = b"\0" + run.encode("utf-8", "surrogatepass")
-            for at in range(0, len(coded), RUN):
-                parts.append(coded[at : at + RUN])
-                owner.append(i)
+        parts, owner = parts_of(runs)
         scores = self.pieces.log_likelihoods(parts, self.p)
         if len(parts) == len(runs):
             return scores
@@ -175,7 +205,7 @@ def _count_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         counts: Counter = Counter()
         for lang, text in zip(batch["lang"], batch["text"]):
-            counts.update((lang, run) for run in runs_of(text) if len(run) <= 32)
+            counts.update((lang, run) for run in runs_of(text))
         rows = [(lang, run, n) for (lang, run), n in counts.items()]
         yield pd.DataFrame(rows, columns=["lang", "run", "n"]).astype({"n": "int64"})
 
@@ -194,7 +224,7 @@ def train(
     About ``per_language`` documents of each language are taken by a hash of the id; their
     words are counted by Spark.  Every round is a Spark job over the distinct words that returns one
     expected count per piece and language: the vocabulary bounds what reaches the driver.
-    Rows with null language or text teach nothing; runs of over 32 letters are not learned from.
+    Rows with null language or text teach nothing.  Words over ``RUN`` bytes are learned from, and scored, in parts.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -219,9 +249,9 @@ def train(
         def expected(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             total = np.zeros_like(now.value)
             for batch in batches:
-                words = [b"\0" + run.encode("utf-8", "surrogatepass") for run in batch["run"]]
-                langs = batch["lang"].map(index).to_numpy(np.int64)
-                total += tables.value.expected_counts(words, batch["n"].to_numpy(float), langs, now.value)
+                words, owner = parts_of(batch["run"])
+                langs, uses = batch["lang"].map(index).to_numpy(np.int64), batch["n"].to_numpy(float)
+                total += tables.value.expected_counts(words, uses[owner], langs[owner], now.value)
             piece, lang = np.nonzero(total)
             yield pd.DataFrame({"piece": piece, "lang": lang, "uses": total[piece, lang]})
 
@@ -287,5 +317,5 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     named like a result are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    out = without(docs, "lang_pred", "score", "_found").withColumn("_found", _predict(shared)(F.col(text_col)))
-    return out.select("*", "_found.lang_pred", "_found.score").drop("_found")
+    found = _predict(shared)(F.col(text_col)).alias("found")
+    return docs.select(box(docs, "lang_pred", "score"), found).select("row.*", "found.lang_pred", "found.score")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from textsignal.llm.common import gapless, without
+from textsignal.llm.common import box, gapless
 
 BUCKETS = 16
 TOKEN_BUDGET = 65_536  # padded tokens of a batch
@@ -89,8 +89,8 @@ def pack(
     """
     results = ["n_tokens", "bucket", "padded", "batch", "place"]
     counted = word_tokens(F.col(text_col)) if n_tokens is None else n_tokens.cast("long")
-    sized = docs.select("*", F.greatest(F.coalesce(counted, F.lit(0)), F.lit(0)).alias("_tokens"), row_id.alias("_row"))
-    sized = without(sized, *results).withColumn("_grain", grain(F.col("_tokens")))
+    tokens = F.greatest(F.coalesce(counted, F.lit(0)), F.lit(0)).alias("_tokens")
+    sized = docs.select(box(docs, *results), tokens, row_id.alias("_row")).withColumn("_grain", grain(F.col("_tokens")))
     histogram = sorted((r["_grain"], r["count"]) for r in sized.groupBy("_grain").count().collect())
     lengths = np.array([g for g, _ in histogram], np.int64)
     counts = np.array([c for _, c in histogram], np.int64)
@@ -104,7 +104,7 @@ def pack(
     ranked = gapless(dealt, "bucket", [F.xxhash64("_row"), F.col("_row"), F.col("_tokens")], "_rank")
     rows = F.greatest(F.floor(token_budget / F.greatest("padded", F.lit(1))), F.lit(1)).cast("long")
     return ranked.select(
-        *[F.col(c) for c in without(docs, *results).columns],
+        "row.*",
         F.col("_tokens").alias("n_tokens"),
         "bucket",
         "padded",

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from textsignal.llm.common import store, without
+from textsignal.llm.common import box, store
 
 MARK = r"^(?:[ \t]*+>)++"
-ATTRIBUTION = r"^\s*On .{1,200} wrote:\s*$"
+ATTRIBUTION = r"^\s*On .+ wrote:\s*$"  # fixed value: how mail programs introduce a quote, in English
 
 
 def normal(text: Column) -> Column:
@@ -33,8 +33,16 @@ def parsed(text: Column) -> Column:
 
 
 def own_text(text: Column, lines: Column) -> Column:
-    """The text without quoted lines and the lines that introduce them; untouched if it quotes nothing."""
-    own = F.filter(lines, lambda x: (x["level"] == 0) & ~x["content"].rlike(ATTRIBUTION))
+    """The text without quoted lines and the lines that introduce them; untouched if it quotes nothing.
+
+    An introduction has a quoted line after it, or a blank one and then a quoted one."""
+
+    def introduces(x: Column, i: Column) -> Column:
+        after, next_but_one = F.get(lines, i + 1), F.get(lines, i + 2)
+        quote = (after["level"] > 0) | ((F.trim(after["content"]) == "") & (F.coalesce(next_but_one["level"], F.lit(0)) > 0))
+        return x["content"].rlike(ATTRIBUTION) & F.coalesce(quote, F.lit(False))
+
+    own = F.filter(lines, lambda x, i: (x["level"] == 0) & ~introduces(x, i))
     body = F.array_join(F.transform(own, lambda x: x["content"]), "\n")
     trimmed = F.regexp_replace(F.regexp_replace(body, r"\A\n+", ""), r"\n+\z", "")
     return F.when(F.exists(lines, lambda x: x["level"] > 0), trimmed).otherwise(text)
@@ -139,9 +147,9 @@ def link_quotes(
     like a result are replaced, all others stay.
     """
     results = ["body", "quote_levels", "n_quotes", "n_linked", "reply_to", "thread", "depth"]
-    kept = without(messages, *results)
     conv, turn, text = F.col(conv_col), F.col(turn_col), F.col(text_col)
-    rows = kept.select(conv.alias("conv_id"), turn.alias("turn"), text.alias("text"), F.xxhash64(text).alias("key"))
+    kept = messages.select(box(messages, *results), conv.alias("conv_id"), turn.alias("turn"), text.alias("text"), F.xxhash64(text).alias("key"))
+    rows = kept.drop("row")
     rows = rows.withColumn("lines", parsed(F.coalesce("text", F.lit(""))))
     rows = rows.withColumn("body", own_text(F.col("text"), F.col("lines")))
     quoting = rows.filter(F.col("text").contains(">"))
@@ -160,12 +168,13 @@ def link_quotes(
         F.col("conv_id").alias("_c"), F.col("turn").alias("_t"), F.col("key").alias("_k"), "quote_levels", "n_quotes", "n_linked",
         "reply_to", "thread", "depth",
     )
-    same = conv.eqNullSafe(F.col("_c")) & turn.eqNullSafe(F.col("_t")) & (F.xxhash64(text) == F.col("_k"))
+    same = F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("turn").eqNullSafe(F.col("_t")) & (F.col("key") == F.col("_k"))
     joined = kept.join(per, same, "left")
+    text, turn = F.col("text"), F.col("turn")
     lines = parsed(F.coalesce(text, F.lit("")))
     zero = F.lit(0).cast("long")
     return joined.select(
-        *[F.col(c) for c in kept.columns],
+        "row.*",
         F.when(text.contains(">"), own_text(text, lines)).otherwise(text).alias("body"),
         F.coalesce(F.col("quote_levels").cast("long"), zero).alias("quote_levels"),
         F.coalesce("n_quotes", zero).alias("n_quotes"),

@@ -7,7 +7,7 @@ from bisect import bisect_left
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from textsignal.llm.common import gapless, without
+from textsignal.llm.common import box, gapless
 
 ARCS = 1 << 16  # the ring is cut into this many equal arcs
 SUB_ARCS = 256  # parts of an arc too heavy for any one shard
@@ -38,7 +38,8 @@ def place(
     points = ring_points(shards, virtual_nodes)
     arcs = [a for a, _ in points]
     owners = [s for _, s in points]
-    room = [int(-(-sum(loads.values()) * (1 + slack) // shards))] * shards
+    total = sum(loads.values())
+    room = [int(-(-total * (1 + slack) // shards))] * shards
     # Shards in the order in which they are met clockwise from each virtual node.
     clockwise: list[tuple[int, ...]] = [()] * len(owners)
     order: list[int] = list(dict.fromkeys(owners))
@@ -93,15 +94,16 @@ def shard_by_ring(
     an empty table gives an empty table.  Other columns stay; columns named ``shard`` or
     ``slot`` are replaced.
     """
-    keyed = without(df, "shard", "slot").select(
-        "*",
+    keyed = df.select(
+        box(df, "shard", "slot"),
         F.pmod(F.shiftrightunsigned(F.xxhash64(key), 1), F.lit(ARCS)).cast("int").alias("_arc"),
         F.pmod(F.xxhash64(row_id), F.lit(SUB_ARCS)).cast("int").alias("_part"),
         F.coalesce(size.cast("long"), F.lit(0)).alias("_size"),
         row_id.alias("_row"),
     )
     loads = {r["_arc"]: r["load"] for r in keyed.groupBy("_arc").agg(F.sum("_size").alias("load")).collect()}
-    heavy = [a for a, load in loads.items() if load * shards * 64 > sum(loads.values())]
+    total = sum(loads.values())
+    heavy = [a for a, load in loads.items() if load * shards * 64 > total]
     parts: dict[int, dict[int, int]] = {}
     if heavy:
         found = keyed.filter(F.col("_arc").isin(heavy)).groupBy("_arc", "_part").agg(F.sum("_size").alias("load"))
@@ -117,4 +119,4 @@ def shard_by_ring(
     same = (F.col("_arc") == F.col("_a")) & (F.col("_part") == F.col("_p"))
     # The table has at most one row per arc and part: 65,536 + 64 x shards x 256.
     dealt = keyed.join(F.broadcast(table), same).drop("_arc", "_part", "_a", "_p")
-    return gapless(dealt, "shard", [F.col("_row"), F.col("_size")], "slot").drop("_row", "_size")
+    return gapless(dealt, "shard", [F.col("_row"), F.col("_size")], "slot").select("row.*", "shard", "slot")
