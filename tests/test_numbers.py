@@ -205,7 +205,7 @@ def test_cascade_scores_only_what_escalates(spark):
 
     got = {r["doc_id"]: r for r in cascade(df, 0.5, scorer("b", 1), scorer("e", 0)).collect()}
     assert seen["b"].value == 3 and seen["e"].value == 1
-    assert [got[i]["tool"] for i in range(5)] == ["VADER", "VADER", "LightGBM+SBERT", "FinBERT-fintwitter", "LightGBM+SBERT"]
+    assert [got[i]["tool"] for i in range(5)] == ["lexicon", "lexicon", "model", "expert", "model"]
     assert [got[i]["final"] for i in range(5)] == [1, 0, 1, 0, 1]
     assert [len(got[i]["trace"]) for i in range(5)] == [1, 1, 2, 3, 2]
 
@@ -214,8 +214,8 @@ def test_route_fall_backs(spark):
     cols = "doc_id long, compound double, b0 double, b1 double, b2 double, e0 double, e1 double, e2 double"
     df = spark.createDataFrame([(0, 0.1, None, None, None, 1.0, 0.0, 0.0), (1, 0.1, 1.0, 0.0, 0.0, None, None, None)], cols)
     got = {r["doc_id"]: r for r in route(df, 0.5).collect()}
-    assert got[0]["tool"] == "VADER" and "no answer" in got[0]["reason"] and got[0]["cost"] == 0.1
-    assert got[1]["tool"] == "LightGBM+SBERT" and got[1]["final"] == 0
+    assert got[0]["tool"] == "lexicon" and "no answer" in got[0]["reason"] and got[0]["cost"] == 0.1
+    assert got[1]["tool"] == "model" and got[1]["final"] == 0
 
 
 def test_predictor_loads_once_per_task(spark):
@@ -227,8 +227,8 @@ def test_predictor_loads_once_per_task(spark):
 
 def test_late_turns_keep_the_last_three():
     state = (0, [0] * 3, [0] * 3, [], [])
-    first = pd.DataFrame({"turn": [5, 7, 9], "final": [0, 1, 2], "tool": ["VADER"] * 3})
-    late = pd.DataFrame({"turn": [1, 8], "final": [2, 0], "tool": ["VADER", "FinBERT-fintwitter"]})
+    first = pd.DataFrame({"turn": [5, 7, 9], "final": [0, 1, 2], "tool": ["lexicon"] * 3})
+    late = pd.DataFrame({"turn": [1, 8], "final": [2, 0], "tool": ["lexicon", "expert"]})
     n, tools, labels, turns, finals = _merge_session(_merge_session(state, iter([first])), iter([late]))
     assert (n, tools, labels, turns, finals) == (5, [4, 0, 1], [2, 1, 2], [7, 8, 9], [1, 0, 2])
 

@@ -38,5 +38,5 @@ NOISE_THRESHOLDS = [0.90, 0.95, 0.99]
 CONFIDENCE_EDGES = [0.5, 0.6, 0.7, 0.8, 0.9, 1.0]
 
 # --- fixed values: tool names and per-row costs of the cascade -------------------------
-TOOLS = ["VADER", "LightGBM+SBERT", "FinBERT-fintwitter"]
+TOOLS = ["lexicon", "model", "expert"]
 TOOL_COSTS = [0.1, 25.0, 150.0]

@@ -13,6 +13,7 @@ from textsignal.functions import surface
 from textsignal.functions.clean import fix_text
 from textsignal.functions.proba import map_model_label
 from textsignal.operators import classify as cl
+from textsignal.operators import metrics as m
 from textsignal.operators import sparse as sp
 from textsignal.operators.dense import smote
 from textsignal.operators.ensemble import equal_vote
@@ -25,8 +26,6 @@ from textsignal.plans.registry import query
 from textsignal.plans.views import N_FOLDS, sql_uniform
 
 K = 5
-# The folds of the G queries as (doc_id, label, fold): ranks are dealt in turn, so ten folds make five.
-FOLDS5 = f"SELECT doc_id, label, fold % {K} AS fold FROM folds"
 
 
 def text_rows(t) -> DataFrame:
@@ -85,20 +84,9 @@ def tfidf_features(preset: str):
     return featurise
 
 
-def check(oof: DataFrame, *more: str) -> DataFrame:
-    """Every row once, probabilities that sum to one, a class that has the greatest of them."""
-    p = [F.col(f"p{i}") for i in range(3)]
-    total = p[0] + p[1] + p[2]
-    own = F.get(F.array(*p), F.col("pred"))
-    return oof.select("doc_id", *more, "label", "fold", F.round(total, 6).alias("p_sum"), (own == F.greatest(*p)).alias("is_top"))
-
-
-def sql_check(source: str, more: str = "") -> str:
-    return f"SELECT doc_id, {more} label, fold, 1.0::DOUBLE AS p_sum, TRUE AS is_top FROM ({source})"
-
-
-EMBEDDED = f"""SELECT doc_id, label, ((row_number() OVER (PARTITION BY label ORDER BY md5('{SEED}|' || doc_id), doc_id) - 1) % {K})::INT AS fold
-  FROM (SELECT vec_id AS doc_id, label % 3 AS label FROM embeddings)"""
+def predicted(oof: DataFrame, *more: str) -> DataFrame:
+    """Every row's out-of-fold probabilities and class."""
+    return oof.select("doc_id", *more, "label", "fold", *[F.round(f"p{i}", 6).alias(f"p{i}") for i in range(3)], "pred")
 
 
 @query(
@@ -158,10 +146,10 @@ def g03c(t):
     return naive_bayes(t, 0.5, True)
 
 
-@query("g03_nb_mllib", sql_check(FOLDS5), "folds")
+@query("g03_nb_mllib")
 def g03m(t):
     oof, _ = cl.cross_validate(text_rows(t), lambda n: cl.make_estimator("naive_bayes"), "nb", K, tfidf_features("unigram"))
-    return check(oof)
+    return predicted(oof)
 
 
 def by_penalty(rows: DataFrame, kind: str, grid: list[float], featurise) -> DataFrame:
@@ -175,34 +163,30 @@ def by_penalty(rows: DataFrame, kind: str, grid: list[float], featurise) -> Data
         else:
             oof, _ = cl.cross_validate(rows, make, kind, K, features)
         parts.append(oof.select("doc_id", "label", "fold", "p0", "p1", "p2", "pred", F.lit(c).alias("c")))
-    return check(reduce(DataFrame.unionByName, parts), "c")
+    return predicted(reduce(DataFrame.unionByName, parts), "c")
 
 
-def sql_penalties(*grid: float) -> str:
-    return sql_check(f"SELECT * FROM ({FOLDS5}), (SELECT unnest([{', '.join(f'{c}::DOUBLE' for c in grid)}]) AS c)", "c,")
-
-
-@query("g04_logistic", sql_penalties(0.1, 1.0, 10.0), "folds")
+@query("g04_logistic")
 def g04(t):
     return by_penalty(text_rows(t), "logistic", [0.1, 1.0, 10.0], tfidf_features("bigram"))
 
 
-@query("g04_logistic_char", sql_penalties(1.0), "folds")
+@query("g04_logistic_char")
 def g04c(t):
     return by_penalty(text_rows(t), "logistic", [1.0], tfidf_features("char"))
 
 
-@query("g05_svm_calibrated", sql_penalties(0.1, 1.0), "folds")
+@query("g05_svm_calibrated")
 def g05(t):
     return by_penalty(text_rows(t), "svm", [0.1, 1.0], tfidf_features("unigram"))
 
 
 def _dense_query(name, kind, **params):
-    @query(name, sql_check(EMBEDDED))
+    @query(name)
     def run(t):
         weight = None if kind == "mlp" else "weight"
         oof, _ = cl.cross_validate(vector_rows(t), lambda n: cl.make_estimator(kind, n, weight, **params), kind, K, weighted)
-        return check(oof)
+        return predicted(oof)
 
 
 _dense_query("g07_mlp", "mlp", layers=[64, 256, 128, 3], maxIter=100)
@@ -219,11 +203,39 @@ def g10(t):
     return rounded(record.drop("time_s"))
 
 
-@query("g11_out_of_fold", sql_check(FOLDS5), "folds")
+@query("g11_out_of_fold")
 def g11(t):
     make = lambda n: cl.make_estimator("forest", n, "weight", numTrees=100)
     oof, _ = cl.cross_validate(surface_table(text_rows(t)), make, "forest", K, scaled_surface)
-    return check(oof)
+    return predicted(oof)
+
+
+FLOORS = ["logistic", "naive_bayes", "svm"]
+
+
+@query(
+    "g10_floors",
+    f"""WITH t AS (SELECT max(c) AS most, sum(c)::BIGINT AS n FROM (SELECT label, count(*) AS c FROM gold GROUP BY label))
+    SELECT model, n, round(2.0::DOUBLE * most / (most + n) / 3, 6) AS floor, TRUE AS above FROM t, (SELECT unnest({FLOORS}) AS model)""",
+    "gold",
+)
+def g10f(t):
+    """Does each text classifier's pooled macro-F1, every row scored out of fold, exceed always giving the commonest class?"""
+    rows, features = cl.stored(stratified_folds(t.social_gold, "doc_id", "label", 3), "floor-rows"), cl.FoldFeatures(tfidf_features("unigram"))
+    make = lambda kind: lambda n: cl.make_estimator(kind, n, "weight", **({} if kind == "naive_bayes" else {"C": 10.0}))
+    parts = []
+    for kind in FLOORS:
+        if kind == "svm":
+            oof = cl.platt_calibrate(cl.oof_margins(rows, make(kind), 3, features)).withColumn("model", F.lit(kind))
+        else:
+            oof, _ = cl.cross_validate(rows, make(kind), kind, 3, features)
+        parts.append(oof.select("model", "label", "pred"))
+    every = reduce(DataFrame.unionByName, parts)
+    scores = m.score(every, ["model"]).select("model", "f1_macro").join(every.groupBy("model").agg(F.count(F.lit(1)).alias("n")), "model")
+    most = t.gold.groupBy("label").count().agg(F.max("count"))
+    floor = 2.0 * F.col("most") / (F.col("most") + F.col("n")) / 3
+    rows = scores.withColumn("most", most.scalar()).withColumn("floor", floor)
+    return rows.select("model", "n", F.round("floor", 6).alias("floor"), (F.col("f1_macro") > F.col("floor")).alias("above"))
 
 
 @query("g12_search")
@@ -282,11 +294,11 @@ def g14(t):
     return rounded(cl.meta_table(t.probs, list("abcd"), ["doc_id", "label"]))
 
 
-@query("g14_stacking", sql_check(FOLDS5), "folds")
+@query("g14_stacking")
 def g14s(t):
     folds = stratified_folds(t.gold, "doc_id", "label", K).select("doc_id", "fold")
     oof, _ = cl.stack(t.probs.join(folds, "doc_id"), list("abcd"), ["doc_id", "label", "fold"], K)
-    return check(oof)
+    return predicted(oof)
 
 
 def _record(rows, name, featurise, prepare=None, weight="weight"):

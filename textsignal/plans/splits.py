@@ -29,9 +29,9 @@ def f02(t):
     return sp.stratified_sample(t.gold, "doc_id", "label", share=0.2).select("doc_id", "label")
 
 
-@query("f02_fixed_sample", "WITH " + sql_sample("gold", "40.0::DOUBLE"), "gold")
+@query("f02_fixed_sample", "WITH " + sql_sample("gold", "400.0::DOUBLE"), "gold")
 def f02b(t):
-    return sp.stratified_sample(t.gold, "doc_id", "label", size=40).select("doc_id", "label")
+    return sp.stratified_sample(t.gold, "doc_id", "label", size=400).select("doc_id", "label")
 
 
 @query(

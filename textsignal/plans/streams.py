@@ -81,8 +81,8 @@ def l02(t):
 
 LAST3 = f"""WITH {SESSIONS} SELECT conv_id, turn, final, tool, CAST(back AS INTEGER) AS back FROM
     (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM routed) WHERE back <= 3"""
-STATS = f"""WITH {SESSIONS} SELECT conv_id, count(*) AS n, count(*) FILTER (tool = 'VADER') AS tool_0, count(*) FILTER (tool = 'LightGBM+SBERT') AS tool_1,
-    count(*) FILTER (tool = 'FinBERT-fintwitter') AS tool_2, count(*) FILTER (final = 0) AS label_0, count(*) FILTER (final = 1) AS label_1,
+STATS = f"""WITH {SESSIONS} SELECT conv_id, count(*) AS n, count(*) FILTER (tool = 'lexicon') AS tool_0, count(*) FILTER (tool = 'model') AS tool_1,
+    count(*) FILTER (tool = 'expert') AS tool_2, count(*) FILTER (final = 0) AS label_0, count(*) FILTER (final = 1) AS label_1,
     count(*) FILTER (final = 2) AS label_2{{extra}} FROM routed GROUP BY conv_id"""
 
 
@@ -99,8 +99,8 @@ def l04(t):
 
 @query(
     "l04_running_stats",
-    f"""WITH {SESSIONS} SELECT conv_id, turn, count(*) OVER w AS n, count(*) FILTER (tool = 'VADER') OVER w AS tool_0,
-    count(*) FILTER (tool = 'LightGBM+SBERT') OVER w AS tool_1, count(*) FILTER (tool = 'FinBERT-fintwitter') OVER w AS tool_2,
+    f"""WITH {SESSIONS} SELECT conv_id, turn, count(*) OVER w AS n, count(*) FILTER (tool = 'lexicon') OVER w AS tool_0,
+    count(*) FILTER (tool = 'model') OVER w AS tool_1, count(*) FILTER (tool = 'expert') OVER w AS tool_2,
     round(round(avg(cost) OVER w, 6), 1) AS mean_cost FROM routed WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)""",
 )
 def l04r(t):
