@@ -63,11 +63,11 @@ def naive_bayes_folds(
     seen = stored(counts.select("doc_id", "term").join(rows.select("doc_id", "label", "fold"), "doc_id"), "nb-terms")
     hits = [F.count_if(F.col("label") == c).alias(f"n{c}") for c in range(3)]
     cells = seen.groupBy("term", "fold").agg(*hits)
-    every = cells.groupBy("term").agg(
+    every = cells.groupBy("term").agg(  # a term of one text is in no fold's vocabulary
         *[F.sum(f"n{c}").alias(f"t{c}") for c in range(3)],
         F.map_from_entries(F.collect_list(F.struct("fold", F.struct("n0", "n1", "n2")))).alias("own"),  # k entries
     )
-    per_fold = every.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+    per_fold = every.filter("t0 + t1 + t2 >= 2").withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
     own = F.try_element_at("own", F.col("fold"))
     left = [(F.col(f"t{c}") - F.coalesce(own[f"n{c}"], F.lit(0))).alias(f"n{c}") for c in range(3)]
     known = per_fold.select("fold", "term", *left).withColumn("df", F.col("n0") + F.col("n1") + F.col("n2")).filter("df >= 2")
@@ -164,6 +164,16 @@ class FoldFeatures:
         return self.made[fold]
 
 
+class Columns:
+    """Features that are column expressions over the rows: ``build(train, test, fold)`` gives both and the training rows' number.
+
+    They cost less than writing them, so nothing is stored per fold.
+    """
+
+    def __init__(self, build: Callable[[DataFrame, DataFrame, int], tuple[DataFrame, DataFrame, int]]):
+        self.build = build
+
+
 def cross_validate(
     rows: DataFrame,
     make: Callable[[int], Estimator],
@@ -172,6 +182,7 @@ def cross_validate(
     featurise: Featurise = as_is,
     prepare_train: Callable[[DataFrame], DataFrame] | None = None,
     parallelism: int = 4,
+    is_stored: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Out-of-fold table and flat metric record of one model.
 
@@ -181,17 +192,20 @@ def cross_validate(
     """
     spark, started = rows.sparkSession, time.time()
     path = scratch_path(spark, f"oof-{name}")
-    rows = stored(rows, f"rows-{name}")
+    rows = rows if is_stored else stored(rows, f"rows-{name}")
 
     def run(fold: int) -> dict:
         train, test = rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold)
-        if isinstance(featurise, FoldFeatures):
+        n = None
+        if isinstance(featurise, Columns):
+            train, test, n = featurise.build(train, test, fold)
+        elif isinstance(featurise, FoldFeatures):
             train, test = featurise.of(fold, train, test)
         elif featurise is not as_is:
             train, test = (stored(part, f"fold-{name}") for part in featurise(train, test))
         if prepare_train:
-            train = stored(prepare_train(train), f"train-{name}")
-        model = make(train.count()).fit(train)
+            train, n = stored(prepare_train(train), f"train-{name}"), None
+        model = make(train.count() if n is None else n).fit(train)
         got = with_probabilities(model.transform(test)).select("doc_id", "label", F.lit(fold).alias("fold"), *P, "pred")
         got.write.mode("overwrite").parquet(f"{path}/part={fold}")
         cells = confusion_cells(with_probabilities(model.transform(train)), []).first().asDict()

@@ -51,21 +51,31 @@ def weighted(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
     return with_class_weights(train, "label"), test.withColumn("weight", F.lit(1.0))
 
 
-def scaled_surface(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Surface columns scaled by the training rows' moments; columns that are constant there become 0."""
-    moments = train.agg(
-        F.struct(
-            *[F.avg(c).alias(f"m_{c}") for c in SURFACE_COLUMNS], *[F.stddev_pop(c).alias(f"s_{c}") for c in SURFACE_COLUMNS]
-        ).alias("m")
-    )
-
-    def build(rows: DataFrame) -> DataFrame:
-        m = F.col("_m")
-        scaled = [F.coalesce(F.try_divide(F.col(c) - m[f"m_{c}"], m[f"s_{c}"]), F.lit(0.0)) for c in SURFACE_COLUMNS]
-        out = rows.withColumn("_m", moments.scalar()).withColumn("features", array_to_vector(F.array(*scaled)))
-        return out.drop("_m", *SURFACE_COLUMNS)
-
-    return weighted(build(train), build(test))
+def scaled_surface(rows: DataFrame):
+    """Surface columns scaled by the moments of a fold's training rows, with their class weights, as column expressions.
+
+    One aggregation has the moments of every fold; those of the training rows are put together from the other
+    folds'.  The driver gets a row per fold and class.  Columns that are constant in the training rows become 0.
+    """
+    moments = [f(c).alias(f"{n}_{c}") for c in SURFACE_COLUMNS for n, f in (("m", F.avg), ("v", F.var_pop))]
+    cells = rows.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n"), *moments).collect()
+
+    def featurise(train: DataFrame, test: DataFrame, fold: int) -> tuple[DataFrame, DataFrame, int]:
+        seen = [r for r in cells if r["fold"] != fold]
+        n = sum(r["n"] for r in seen)
+        scaled = []
+        for c in SURFACE_COLUMNS:
+            mean = sum(r["n"] * r[f"m_{c}"] for r in seen) / n
+            spread = (sum(r["n"] * (r[f"v_{c}"] + (r[f"m_{c}"] - mean) ** 2) for r in seen) / n) ** 0.5
+            scaled.append((F.col(c) - mean) / spread if spread > 0 else F.lit(0.0))
+        sizes = {k: sum(r["n"] for r in seen if r["label"] == k) for k in {r["label"] for r in seen}}
+        weight = F.lit(None).cast("double")
+        for k, size in sizes.items():
+            weight = F.when(F.col("label") == k, n / (len(sizes) * size)).otherwise(weight)
+        build = lambda df: df.select("doc_id", "label", "fold", array_to_vector(F.array(*scaled)).alias("features"))
+        return build(train).withColumn("weight", weight), build(test).withColumn("weight", F.lit(1.0)), n
+
+    return cl.Columns(featurise)
 
 
 def tfidf_features(preset: str):
@@ -199,14 +209,16 @@ _dense_query("g09_boosted", "boosted", maxIter=100, maxDepth=3)
 @query("g10_metric_record")
 def g10(t):
     make = lambda n: cl.make_estimator("logistic", n, "weight")
-    _, record = cl.cross_validate(surface_table(text_rows(t)), make, "logistic", K, scaled_surface)
+    rows = cl.stored(surface_table(text_rows(t)), "surface")
+    _, record = cl.cross_validate(rows, make, "logistic", K, scaled_surface(rows), is_stored=True)
     return rounded(record.drop("time_s"))
 
 
 @query("g11_out_of_fold")
 def g11(t):
     make = lambda n: cl.make_estimator("forest", n, "weight", numTrees=100)
-    oof, _ = cl.cross_validate(surface_table(text_rows(t)), make, "forest", K, scaled_surface)
+    rows = cl.stored(surface_table(text_rows(t)), "surface")
+    oof, _ = cl.cross_validate(rows, make, "forest", K, scaled_surface(rows), is_stored=True)
     return predicted(oof)
 
 
@@ -330,9 +342,16 @@ def g15f(t):
     """Word features alone, and beside the scaled surface features, under the same folds."""
     rows = cl.stored(text_rows(t), "fusion-rows")
 
+    surfaces = cl.stored(surface_table(rows), "fusion-surface")
+    scaler = scaled_surface(surfaces)
+
+    def fold_surface(train, test):
+        fold = test.select("fold").first()[0]
+        return scaler.build(surfaces.filter(F.col("fold") != fold), surfaces.filter(F.col("fold") == fold), fold)[:2]
+
     def fused(train, test):
         words = tfidf_features("unigram")(train, test)
-        more = scaled_surface(surface_table(train), surface_table(test))
+        more = fold_surface(train, test)
         both = []
         for a, b in zip(words, more):
             a = cl.stored(a, "fusion-words")
@@ -348,7 +367,7 @@ def g15f(t):
 
 @query("g15_smote_or_weights")
 def g15b(t):
-    rows = surface_table(text_rows(t))
+    rows = cl.stored(surface_table(text_rows(t)), "surface")
 
     def balance(train: DataFrame) -> DataFrame:
         dense = train.select("doc_id", "label", vector_to_array("features").alias("v"))
@@ -356,8 +375,8 @@ def g15b(t):
         return dense.unionByName(made).select("doc_id", "label", array_to_vector("v").alias("features"))
 
     recs = {
-        "weights": _record(rows, "weights", scaled_surface),
-        "smote": _record(rows, "smote", scaled_surface, prepare=balance, weight=None),
+        "weights": _record(rows, "weights", scaled_surface(rows)),
+        "smote": _record(rows, "smote", scaled_surface(rows), prepare=balance, weight=None),
     }
     return rounded(cl.compare_variants(recs, "weights"))
 
