@@ -21,7 +21,9 @@ def boxed(docs: DataFrame) -> DataFrame:
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known: rejected are those without a letter and those no language prevails for.
 
-    The model learns as in the language query, from the rows of the corpus that name a language.
+    The model learns as in the language query, from the rows of the corpus that name a language.  Null and empty
+    texts have no letter and go; null ids, sources and languages change nothing; repeated rows stay; of languages
+    that tie the first by name counts; an empty table stays empty.
     """
     model = language.train(docs.filter(~held_out(F.col("doc_id"))))
     found = language.identify(boxed(docs), model, "_text")
@@ -32,24 +34,38 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near-duplicates (4-word shingles, fingerprints 4 or fewer bits apart) the document with the least id.
 
-    Nulls and empty texts have fingerprint 0 and form one group; of repeated rows one stays."""
+    Null and empty texts have fingerprint 0 and form one group; of repeated rows, and of rows that share an id, one stays;
+    a row without an id stays if no row with an id has its fingerprint.  An empty table stays empty.
+    """
     return near_dup.one_per_component(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a word window of the benchmark."""
+    """Documents without a word window of the benchmark.
+
+    Null and empty texts have no words and stay, as do repeated clean rows; wordless and null items match nothing.  An
+    empty table stays empty, and an empty benchmark keeps every row.
+    """
     found = decontaminate(boxed(docs), read_table(spark, sf_dir, "benchmark"), "_text")
     return found.filter("n_hit = 0").select("_doc.*")
 
 
 def sanitised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data generalised in their text; ``n_chars`` follows the text."""
+    """All documents, personal data generalised in their text; ``n_chars`` follows the text.
+
+    A null text stays null and has a null ``n_chars``; empty texts and repeated rows stay as they are; an empty table
+    stays empty.
+    """
     clean = pii.sanitise(docs)
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def batched(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per document: its length, bucket, batch and place."""
+    """A row per document: its length, bucket, batch and place.
+
+    Null and empty texts have no tokens and join the first bucket; repeated rows get places of their own; rows of equal
+    length are told apart by a hash of the id; an empty table gives no rows.
+    """
     return packed(docs)
 
 
