@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from textsignal.llm.common import held_out
-from textsignal.llm.language import Pieces, identify, train
+from textsignal.llm import language
+from textsignal.llm.language import VOCABULARY, LanguageModel, Pieces, identify, train
 
 PIECES = ["▁a", "a", "b", "ab", "▁ab", "bba", "é"]
 
@@ -78,3 +79,29 @@ def test_edges(make, edge_docs, no_docs):
     assert identify(no_docs, model).count() == 0
     nothing = train(no_docs)
     assert {r.lang_pred for r in identify(edge_docs, nothing).collect()} == {"und"}
+
+
+def test_ties_and_very_long_words(make):
+    """Two languages with the same probabilities: the first by name; a word of 300,000 letters has a finite score."""
+    pieces = Pieces.load(VOCABULARY)
+    model = LanguageModel(["aa", "bb"], pieces, np.full((pieces.size, 2), 1 / pieces.size))
+    docs = make([(1, "some words"), (2, "x" * 300_000), (3, "été " * 5), (4, "12")], "doc_id long, text string")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in identify(docs, model).collect()}
+    assert found == {1: ("aa", 0.5), 2: ("aa", 0.5), 3: ("aa", 0.5), 4: ("und", 0.0)}
+
+
+def test_long_words_are_counted_like_short_ones(monkeypatch):
+    """The sums in logarithms equal the plain ones, and do not vanish where those do."""
+    pieces = Pieces.load(VOCABULARY)
+    rng = np.random.default_rng(0)
+    p = rng.random((pieces.size, 2))
+    p /= p.sum(axis=0)
+    words = [b"\0" + w.encode() for w in ("the", "running", "été", "z")]
+    weights, langs = np.array([1.0, 2.0, 3.0, 1.0]), np.array([0, 1, 0, 1])
+    plain = pieces.expected_counts(words, weights, langs, p)
+    monkeypatch.setattr(language, "PLAIN", 0)
+    assert np.allclose(plain, pieces.expected_counts(words, weights, langs, p))
+    monkeypatch.undo()
+    long = [b"\0" + ("\u4e00" * 300).encode()]
+    found = pieces.expected_counts(long, np.ones(1), np.zeros(1, np.int64), p / 1000)
+    assert np.isfinite(found).all() and found.sum() > 100
