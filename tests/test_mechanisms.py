@@ -3,6 +3,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from textsignal import session
 from textsignal.functions import clean, sql_functions
 from textsignal.operators import predict, sketches, stats
 from textsignal.operators.tokens import noun_lemmas
@@ -37,6 +38,19 @@ def test_functions_work_in_views_and_predicates(spark):
     assert sql_functions.sql_text(F.col("a") == F.lit("=(b")) == "`=`(a, '=(b')"
 
 
+# --- scratch
+def test_a_job_clears_its_own_scratch(spark, tmp_path):
+    before = session.scratch_root(spark)
+    spark.conf.set("textsignal.scratch.dir", str(tmp_path))
+    try:
+        (tmp_path / "textsignal-of-another").mkdir()
+        spark.range(3).write.parquet(session.scratch_path(spark, "mine"))
+        assert session.run_folder(spark).startswith(str(tmp_path)) and session.clear_scratch(spark)
+        assert [p.name for p in tmp_path.iterdir()] == ["textsignal-of-another"] and not session.clear_scratch(spark)
+    finally:
+        spark.conf.set("textsignal.scratch.dir", before)
+
+
 # --- noun lemmas
 PAIRS = {
     "churches": "church", "wishes": "wish", "buses": "bus", "boxes": "box", "leaves": "leaf", "women": "woman", "stories": "story",

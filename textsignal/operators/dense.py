@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,6 +17,7 @@ from textsignal.functions.clean import words
 from textsignal.functions.hashing import digest, uniform
 from textsignal.operators.joins import stored_side, place_by
 from textsignal.operators.knn import knn, unit_vector
+from textsignal.operators.neighbour_index import build_index, search_index
 from textsignal.operators.split import distributed_rank
 
 
@@ -135,12 +137,24 @@ def pca_2d(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFra
     return points, df.sparkSession.createDataFrame([(share[0], share[1])], "share_x double, share_y double")
 
 
-def smote(df: DataFrame, id_col: str, label_col: str, vec_col: str, k: int = 5, seed: int = SEED) -> DataFrame:
+def _indexed_near(seeds: DataFrame, base: DataFrame, id_col: str, label_col: str, vec_col: str, k: int) -> DataFrame:
+    """Neighbours within the class from one index per class."""
+    parts = []
+    for row in base.select(label_col).distinct().collect():  # a row per class
+        same = F.col(label_col).eqNullSafe(F.lit(row[0]))
+        parts.append(search_index(build_index(base.filter(same), k, id_col, vec_col), seeds.filter(same), id_col, vec_col))
+    return reduce(DataFrame.unionByName, parts) if parts else knn(seeds, base, k, id_col, vec_col)
+
+
+def smote(
+    df: DataFrame, id_col: str, label_col: str, vec_col: str, k: int = 5, seed: int = SEED, indexed: bool = False
+) -> DataFrame:
     """``(id, copy, label, vector)``: new rows between a row and one of its ``k``
     nearest rows of the same class, until all classes are as large as the largest.
 
     How many copies a row gives follows from its rank in its class; neighbour and
-    gap come from digests, so the same rows are made on every run.
+    gap come from digests, so the same rows are made on every run.  ``indexed`` finds the neighbours by the index of
+    random planes, for classes too large for the exact search.
     """
     everyone = Window.partitionBy(F.lit(0))  # one row per class
     counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n"))
@@ -154,7 +168,8 @@ def smote(df: DataFrame, id_col: str, label_col: str, vec_col: str, k: int = 5,
         id_col, label_col, F.col(vec_col).alias("_a"), F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy")
     )
     jobs = jobs.withColumn("rank", F.floor(uniform(seed, "nn", F.col(id_col), F.col("copy")) * k).cast("int") + 1)
-    near = knn(seeds, small, k, id_col, vec_col, within=label_col).select(id_col, "neighbour", "rank")
+    near = _indexed_near(seeds, small, id_col, label_col, vec_col, k) if indexed else knn(seeds, small, k, id_col, vec_col, within=label_col)
+    near = near.select(id_col, "neighbour", "rank")
     # a class with fewer than k + 1 rows has fewer neighbours: wrap around
     found = near.groupBy(id_col).agg(F.max("rank").alias("_k"))
     jobs = jobs.join(found, id_col).withColumn("rank", (F.col("rank") - 1) % F.col("_k") + 1).drop("_k")

@@ -43,6 +43,21 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Folder below the scratch root that holds everything this application writes there."""
+    return os.path.join(scratch_root(spark), f"textsignal-{spark.sparkContext.applicationId}")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name below the scratch root; never reused."""
-    return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh folder name in the application's own folder; never reused."""
+    return os.path.join(run_folder(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Removes the application's intermediate tables; returns whether there were any.
+
+    Results are lazy and read these tables, so an operator cannot remove its own.  The owner is the job that started the
+    session: it calls this once its last result is written.  Other applications' folders are not touched.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
