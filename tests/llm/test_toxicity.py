@@ -2,10 +2,11 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from textsignal.llm.q_toxicity import op2
 from textsignal.llm.registry import Source
-from textsignal.llm.toxicity import FactorizationMachine, fit, score_toxicity, train
+from textsignal.llm.toxicity import FactorizationMachine, _Buckets, bucket_column, fit, score_toxicity, terms_of, train
 
 
 def test_logit_is_the_sum_over_pairs():
@@ -40,6 +41,14 @@ def test_training_finds_the_pair_among_noise(make, kind):
     assert np.mean(right) >= 0.95
 
 
+def test_buckets_of_spark_and_python_agree(make):
+    texts = ["Some words, some WORDS: été Straße x1y2", "", None, "日本語 ñandú"]
+    docs = make(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: set(r.b) for r in docs.select("doc_id", bucket_column(F.col("text")).alias("b")).collect()}
+    known = _Buckets()
+    assert got == {i: {known[t] for t in terms_of(x)} for i, x in enumerate(texts)}
+
+
 def test_the_query(spark):
     """Contract columns, held-out rows by the id's checksum, and better than chance by far on rows that taught nothing."""
     sf = "/root/testdata/sf0.1"

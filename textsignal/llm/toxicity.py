@@ -15,13 +15,13 @@ from textsignal.llm.common import store, without
 
 BUCKETS = 1 << 18  # terms share hashed buckets; this bounds the model and what the driver holds of it
 PER_CLASS = 3000  # sampled documents per label, in expectation
-MIN_DOCS = 5  # labelled documents that hold a learned term
+MIN_DOCS = 5  # documents that hold a learned term
 FACTORS = 8
 LINEAR_STEPS = 100
 PAIR_STEPS = 40
 SEARCH = 12  # rounds of the search for interacting terms
 # Penalties fall with the root of the number of texts, as chance differences do.
-PENALTY = 0.11  # on the size of a weight; divided by how far a term's share in the two classes differs, in standard errors
+PENALTY = 0.14  # on the size of a weight; divided by how far a term's share in the two classes differs, in standard errors
 PAIR_PENALTY = 0.22  # on the size of a factor
 SEED = 7
 THRESHOLD = 0.3
@@ -39,7 +39,7 @@ class _Buckets(dict):
     def __missing__(self, term: str) -> int:
         if len(self) >= 500_000:
             self.clear()
-        bucket = self[term] = xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass")) % BUCKETS
+        bucket = self[term] = xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"), 42) % BUCKETS
         return bucket
 
 
@@ -189,7 +189,13 @@ def _buckets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     known = _Buckets()
     for batch in batches:
         found = [sorted({known[t] for t in terms_of(text)}) for text in batch["text"]]
-        yield pd.DataFrame({"label": batch["label"], "text_key": batch["text_key"], "drawn": batch["drawn"], "buckets": found})
+        yield pd.DataFrame({"label": batch["label"], "text_key": batch["text_key"], "buckets": found})
+
+
+def bucket_column(text: Column) -> Column:
+    """The distinct buckets of a text's terms, as ``_Buckets`` has them."""
+    terms = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"\p{L}+"), F.lit(0))
+    return F.array_distinct(F.transform(terms, lambda t: F.pmod(F.xxhash64(t), F.lit(BUCKETS)).cast("int")))
 
 
 def train(
@@ -202,17 +208,17 @@ def train(
 ) -> FactorizationMachine:
     """Fit on a bounded sample: about ``per_class`` labelled rows of each class, by a hash of the id.
 
-    Which hashed terms are learned is decided by all labelled rows: those that at least ``MIN_DOCS`` of them hold.
-    Spark counts them, and there are at most ``BUCKETS``.  Of the sample the driver gets each text's buckets;
-    equal texts of one label count once there.  Class weights restore the shares of all labelled rows, so scores
-    are calibrated.
+    Ids are drawn from the labels alone, so a broadcast of the drawn ids (bounded by ``per_class``) finds their texts
+    where they lie.  Which hashed terms are learned is decided by all documents: those that at least ``MIN_DOCS`` of
+    them hold, labelled or not.  Spark counts them where the texts lie, and there are at most ``BUCKETS``.  Of the sample
+    the driver gets each text's buckets; equal texts of one label count once there.  Class weights restore the shares
+    of all labelled rows, so scores are calibrated.
 
     Rows with a null id or label teach nothing; an id labelled twice has its greater label; a null
     text has no terms.  Without rows of both labels the model is the smoothed share of label 1.
     """
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     marked = marked.filter("id IS NOT NULL AND label IN (0, 1)").groupBy("id").agg(F.max("label").alias("label"))
-    marked = store(marked, "toxicity-labels")
     sizes = {0: 0, 1: 0} | {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
     base = (sizes[1] + 1) / (sizes[0] + sizes[1] + 2)
     none = FactorizationMachine(np.zeros(0, np.int64), float(np.log(base / (1 - base))), np.zeros(0), np.zeros((0, FACTORS)))
@@ -220,13 +226,14 @@ def train(
         return none
     luck = F.pmod(F.xxhash64("id", F.lit("toxicity sample")), F.lit(1_000_000)) / 1_000_000
     share = F.when(F.col("label") == 1, per_class / sizes[1]).otherwise(per_class / sizes[0])
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(marked, "id")
-    texts = texts.select("label", "text", F.xxhash64("text").alias("text_key"), (luck < share).alias("drawn"))
-    rows = store(texts.mapInPandas(_buckets_of, "label int, text_key long, drawn boolean, buckets array<int>"), "toxicity-terms")
-    held = rows.select(F.explode("buckets").alias("bucket")).groupBy("bucket").count().filter(F.col("count") >= MIN_DOCS)
+    drawn = marked.filter(luck < share)  # about 2 x per_class ids
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(drawn), "id")
+    texts = texts.select("label", "text", F.xxhash64("text").alias("text_key"))
+    rows = store(texts.mapInPandas(_buckets_of, "label int, text_key long, buckets array<int>"), "toxicity-sample")
+    held = docs.select(F.explode(bucket_column(F.col(text_col))).alias("bucket")).groupBy("bucket").count()
+    held = held.filter(F.col("count") >= MIN_DOCS)
     kept = np.array(sorted(r["bucket"] for r in held.select("bucket").collect()), np.int64)  # at most BUCKETS
-    drawn = rows.filter("drawn").dropDuplicates(["label", "text_key"]).orderBy("label", "text_key")
-    got = drawn.select("label", "buckets").collect()  # about 2 x per_class texts
+    got = rows.dropDuplicates(["label", "text_key"]).orderBy("label", "text_key").select("label", "buckets").collect()
     n = {c: sum(r["label"] == c for r in got) for c in (0, 1)}
     if not n[0] or not n[1]:
         return none
