@@ -39,16 +39,12 @@ def test_functions_work_in_views_and_predicates(spark):
 
 
 # --- scratch
-def test_a_job_clears_its_own_scratch(spark, tmp_path):
-    before = session.scratch_root(spark)
-    spark.conf.set("textsignal.scratch.dir", str(tmp_path))
-    try:
-        (tmp_path / "textsignal-of-another").mkdir()
-        spark.range(3).write.parquet(session.scratch_path(spark, "mine"))
-        assert session.run_folder(spark).startswith(str(tmp_path)) and session.clear_scratch(spark)
-        assert [p.name for p in tmp_path.iterdir()] == ["textsignal-of-another"] and not session.clear_scratch(spark)
-    finally:
-        spark.conf.set("textsignal.scratch.dir", before)
+def test_a_job_clears_its_own_scratch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "scratch_root", lambda spark: str(tmp_path))
+    (tmp_path / "textsignal-of-another").mkdir()
+    spark.range(3).write.parquet(session.scratch_path(spark, "mine"))
+    assert session.run_folder(spark).startswith(str(tmp_path)) and session.clear_scratch(spark)
+    assert [p.name for p in tmp_path.iterdir()] == ["textsignal-of-another"] and not session.clear_scratch(spark)
 
 
 # --- noun lemmas
