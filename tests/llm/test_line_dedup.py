@@ -46,7 +46,7 @@ def test_empty_table_and_clashing_columns(make, no_docs):
     schema = "grp string, digest long, row string, n_lines string, kept long, found int, dropped int, shard int, text string, m map<string,int>"
     rows = [("g", i, "r", "x", 1, 2, 3, 4, "same\nother", {"a": i}) for i in range(12)]
     found = L.drop_common_lines(make(rows, schema))
-    assert sorted(found.columns) == sorted([*schema.replace(" ", ":").split(":")[0:0], "grp", "digest", "row", "n_lines", "n_dropped", "kept", "found", "dropped", "shard", "text", "m"])
+    assert found.columns == ["grp", "digest", "row", "found", "dropped", "shard", "text", "m", "n_lines", "n_dropped", "kept"]
     assert {(r.n_lines, r.n_dropped, r.kept, r.row) for r in found.collect()} == {(2, 2, "", "r")}
 
 
