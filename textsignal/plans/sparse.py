@@ -116,7 +116,7 @@ def d09(t):
     u = uniform(F.lit("split"), F.col("doc_id"))
     train, test = t.documents.filter(u < 0.8), t.documents.filter(u >= 0.8)
     _, v = sp.fit_tfidf(train, "unigram")
-    return sp.tfidf(sp.word_term_counts(test), v).withColumn("weight", F.round("weight", 6))
+    return sp.tfidf(sp.term_rows(test, "unigram"), v).withColumn("weight", F.round("weight", 6))
 
 
 STOPS_SQL = "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS) + ")"
