@@ -54,3 +54,18 @@ def test_terms_are_neither_shuffled_nor_stored(spark):
     counted, vocabulary = sp.fit_tfidf(df, "char")
     plan = sp.tfidf(counted, vocabulary)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Scan parquet" not in plan
+
+
+def test_tokens_are_stemmed_where_they_lie(spark):
+    """Tokens were exploded, joined with their stems and sorted together again, three shuffles of all tokens."""
+    from textsignal.operators.tokens import replace_tokens, stem, stem_vocabulary
+
+    rows = [(1, ["running", "dogs", "running"]), (2, None), (3, []), (4, ["URL", None, "flies"]), (None, ["cats"])]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    got = {r.doc_id: r.tokens for r in stem(df, "doc_id", "tokens").collect()}
+    assert got == {r.doc_id: r.tokens for r in replace_tokens(df, "doc_id", "tokens", stem_vocabulary(df, "tokens")).collect()}
+    assert got[1] == ["run", "dog", "run"] and got[2] == [] and got[None] == ["cat"]
+    assert "Exchange" not in stem(df, "doc_id", "tokens")._jdf.queryExecution().executedPlan().toString()
+    both = df.unionByName(spark.createDataFrame([(1, ["cats"])], df.schema))
+    old = replace_tokens(both, "doc_id", "tokens", stem_vocabulary(both, "tokens"))
+    assert sorted(map(str, stem(both, "doc_id", "tokens").collect())) == sorted(map(str, old.collect()))
