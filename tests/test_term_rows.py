@@ -69,3 +69,23 @@ def test_tokens_are_stemmed_where_they_lie(spark):
     both = df.unionByName(spark.createDataFrame([(1, ["cats"])], df.schema))
     old = replace_tokens(both, "doc_id", "tokens", stem_vocabulary(both, "tokens"))
     assert sorted(map(str, stem(both, "doc_id", "tokens").collect())) == sorted(map(str, old.collect()))
+
+
+@pytest.mark.parametrize("kind", ["unigram", "bigram", "char"])
+def test_vectors_of_all_folds_are_those_of_each_fold_alone(spark, kind):
+    """Every fold tokenised its training rows twice and its test rows once; now texts are read twice for all folds."""
+    words = ["ab", "cd", "ef", "gh", "ij", "Żółw"]
+    rows = [(i, i % 2, i % 3, " ".join(words[(i * j) % 6] for j in range(1, 6))) for i in range(24)]
+    rows += [(3, 1, 1, "cd cd zz"), (3, 1, 0, "zz ab"), (None, 0, 1, "gh zz"), (None, 0, 1, "ab"), (30, 1, 2, None), (31, 0, 0, "")]
+    df = spark.createDataFrame(rows, "doc_id long, label int, fold int, text string")
+    made = sp.FoldVectors(df, kind, 3)
+    for fold in range(3):
+        train, test = df.filter(f"fold <> {fold}"), df.filter(f"fold = {fold}")
+        vocabulary = sp.numbered(sp.fit_tfidf(train, kind)[1])
+        assert made.vocabularies[fold][0] == vocabulary[0] and made.vocabularies[fold][1].tolist() == vocabulary[1].tolist()
+        assert made.n_train(fold) == train.count()
+        for side, is_train in ((train, True), (test, False)):
+            alone = sp.tfidf_vectors(side, vocabulary, kind, keep=["label", "fold"])
+            assert sorted(map(str, made.vectors(fold, is_train).collect())) == sorted(map(str, alone.collect()))
+    once = sp.FoldVectors(df.filter("doc_id <> 3"), kind, 3)
+    assert "text" not in once.vectors(0, True)._jdf.queryExecution().optimizedPlan().toString()
