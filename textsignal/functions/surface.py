@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, functions as F
 
-from textsignal.functions.clean import WORD, words
+from textsignal.functions.clean import WORD
 
 
 def count_matches(text: Column, pattern: str) -> Column:
@@ -30,7 +30,7 @@ def url_count(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.size(words(text))
+    return count_matches(text, r"(?U)\S+")
 
 
 def char_count(text: Column) -> Column:
@@ -43,19 +43,20 @@ def mark_count(text: Column, mark: str) -> Column:
 
 def caps_ratio(text: Column) -> Column:
     """Share of words whose cased characters are all upper case."""
-    toks = words(text)
+    toks = F.regexp_extract_all(text, F.lit(r"(?U)(?<!\S)[^\sa-z]++(?!\S)"), F.lit(0))  # no other word can be
     caps = F.filter(toks, lambda w: (w == F.upper(w)) & (w != F.lower(w)))
-    return F.size(caps) / F.greatest(F.size(toks), F.lit(1))
+    return F.size(caps) / F.greatest(word_count(text), F.lit(1))
 
 
 def reading_ease(text: Column) -> Column:
-    """Flesch score; a syllable is a vowel group, at least one per word."""
-    toks = words(F.lower(text))
-    n_words = F.greatest(F.size(toks), F.lit(1))
+    """Flesch score; a syllable is a vowel group, at least one per word.
+
+    A vowel group lies inside a word, so those of the text are counted, and the words without one.
+    """
+    low = F.lower(text)
+    n_words = F.greatest(word_count(low), F.lit(1))
     n_sent = F.greatest(count_matches(text, "[.!?]+"), F.lit(1))
-    syllables = F.aggregate(
-        toks, F.lit(0), lambda acc, w: acc + F.greatest(count_matches(w, "[aeiouy]+"), F.lit(1))
-    )
+    syllables = count_matches(low, "[aeiouy]+") + count_matches(low, r"(?U)(?<!\S)[^\saeiouy]++(?!\S)")
     return 206.835 - 1.015 * (n_words / n_sent) - 84.6 * (syllables / n_words)
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from textsignal.functions import surface as s
 from textsignal.operators import lexicon as lx
+from textsignal.operators.classify import stored
 from textsignal.operators.features import FEATURE_COLUMNS, SURFACE_COLUMNS, feature_rows, standardise
 from textsignal.plans.registry import query
 
@@ -148,5 +149,5 @@ def c11(t):
 def e08(t):
     cols = s.surface_columns(F.col("text"))
     base = t.social.select("doc_id", *[_rounded(c, cols[c]) for c in SURFACE_COLUMNS])
-    scaled = standardise(base, SURFACE_COLUMNS)
+    scaled = standardise(stored(base, "surface"), SURFACE_COLUMNS)  # texts are read once, moments and rows come from the numbers
     return scaled.select("doc_id", *[F.round(c, 5).alias(c) for c in SURFACE_COLUMNS])
