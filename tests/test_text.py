@@ -99,3 +99,24 @@ def test_cut_offs(spark):
     df = spark.createDataFrame([(0.05,), (-0.05,), (0.0,)], "c double").repartition(1)
     assert [r[0] for r in df.select(lexicon_class(F.col("c"))).collect()].count(2) == 1
     assert all(r[0] == 2 for r in df.select(lexicon_class(F.col("c"), strict=True)).collect())
+
+
+def test_a_text_is_cleaned_once(spark):
+    """The choice between a text and its decomposition cleaned it once for each, and an explode once more before it."""
+    from textsignal.functions.surface import surface_columns
+    from textsignal.operators.tokens import stem_vocabulary
+
+    df = spark.createDataFrame([(1, "Cafés won't RUN"), (2, None), (3, ""), (4, "running cats")], "doc_id long, text string")
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    tokens = df.select(c.pipeline_tokens(F.col("text")).alias("tokens"))
+    vocabulary = stem_vocabulary(tokens, "tokens")
+    assert {r.token: r.target for r in vocabulary.collect()} == {"cafes": "cafe", "not": "not", "run": "run", "running": "run", "cats": "cat"}
+    assert plan(df.select(c.normalize_text(F.col("text")).alias("x"))).count("can not") == 1
+    assert plan(vocabulary).count("can not") == 1
+    words = c.each(df, c.words(F.col("text")), "word", "doc_id")
+    assert sorted((r.doc_id, r.word) for r in words.collect()) == [(1, "Cafés"), (1, "RUN"), (1, "won't"), (4, "cats"), (4, "running")]
+    assert plan(words).count("split(") == 1
+    rows = spark.createDataFrame([("ÉTÉ rhythm B1 12 İI\u0085the end. e",)], "text string")
+    got = rows.select(*[x.alias(n) for n, x in surface_columns(F.col("text")).items()]).first()
+    assert (got.word_count, round(got.all_caps_ratio, 6)) == (8, 0.375)
+    assert abs(got.flesch_score - (206.835 - 1.015 * 8 - 84.6 * 9 / 8)) < 1e-9
