@@ -120,3 +120,17 @@ def test_a_text_is_cleaned_once(spark):
     got = rows.select(*[x.alias(n) for n, x in surface_columns(F.col("text")).items()]).first()
     assert (got.word_count, round(got.all_caps_ratio, 6)) == (8, 0.375)
     assert abs(got.flesch_score - (206.835 - 1.015 * 8 - 84.6 * 9 / 8)) < 1e-9
+
+
+@pytest.mark.parametrize("normalised", [True, False])
+def test_overlap_makes_each_key_once(spark, normalised):
+    """The join's filter for keys that are not null cleaned every text a second time."""
+    from textsignal.operators.audit import overlap
+
+    left = spark.createDataFrame([("Up …",), ("Up …",), ("up",), (None,), ("only here",), ("",)], "text string")
+    right = spark.createDataFrame([("Up …",), (None,), ("there",), ("",), ("",)], "text string")
+    found = overlap(left, right, normalised)
+    assert tuple(found.first()) == ((4, 2) if normalised else (3, 2))
+    assert tuple(overlap(left, right.limit(0), normalised).first()) == (0, 0)
+    assert tuple(overlap(left.limit(0), right, normalised).first()) == (0, 0)
+    assert "isnotnull(sha2" not in found._jdf.queryExecution().optimizedPlan().toString()

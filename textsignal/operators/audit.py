@@ -110,13 +110,14 @@ def conflicting_groups(df: DataFrame, text: str = "text", label: str = "label")
 def overlap(left: DataFrame, right: DataFrame, normalised: bool, text: str = "text") -> DataFrame:
     """Rows of ``left`` whose text also occurs in ``right``.
 
-    Both sides are reduced to one counted key each before they meet, so a text
-    with very many copies is a single row of the join.
+    Both sides are counted by key in one aggregation, so a text with very many copies is a single row, and no join
+    asks for keys that are not null, for which every key would be made a second time.
     """
-    a = duplicate_groups(left, normalised, text)
-    b = duplicate_groups(right, normalised, text).select("key")
-    hit = a.join(b, "key", "left_semi")
-    return hit.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("texts"))
+    key = _key(F.col(text), normalised).alias("key")
+    sides = left.select(key, F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(right.select(key, F.lit(0).alias("a"), F.lit(1).alias("b")))
+    found = sides.groupBy("key").agg(F.sum("a").alias("n"), F.max("b").alias("b"))
+    hit = F.col("key").isNotNull() & (F.col("n") > 0) & (F.col("b") > 0)
+    return found.agg(F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0)).alias("rows"), F.count_if(hit).alias("texts"))
 
 
 def shift_table(left: DataFrame, right: DataFrame, text: str = "text") -> DataFrame:
