@@ -89,3 +89,21 @@ def test_vectors_of_all_folds_are_those_of_each_fold_alone(spark, kind):
             assert sorted(map(str, made.vectors(fold, is_train).collect())) == sorted(map(str, alone.collect()))
     once = sp.FoldVectors(df.filter("doc_id <> 3"), kind, 3)
     assert "text" not in once.vectors(0, True)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_texts_leave_the_jvm_whole(spark):
+    """Token lists were made by patterns in the JVM and copied token by token; n-grams were exploded from lists made twice."""
+    from textsignal.plans.sparse import d01
+
+    df = spark.createDataFrame([(1, "Ab-cd e Żó_9gh\u0085ab"), (1, "AB cd"), (2, None), (None, "　cd  ab\n")], "doc_id long, text string")
+    table = type("T", (), {"documents": df})()
+    pairs = Counter(["ab", "cd", "żó_9", "gh", "ab", "ab cd", "cd żó_9", "żó_9 gh", "gh ab", "ab", "cd", "ab cd", "cd", "ab", "cd ab"])
+    found = d01(table)
+    assert {r.term: r.n for r in found.collect()} == pairs
+    sums = term_sums(sp.term_rows(df, "bigram"))
+    assert {r.term: r.total for r in sums.collect()} == pairs  # no pair across the two texts of one id
+    for made in (found, sums):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert "regexp" not in plan and "Generate" not in plan
+    words = Counter(["ab-cd", "e", "żó_9gh", "ab", "ab", "cd", "cd", "ab"])
+    assert {r.term: r.total for r in term_sums(sp.TermRows(sp.term_rows(df, "char").rows, "word", "doc_id")).collect()} == words

@@ -47,10 +47,8 @@ def _summary(weights):
 
 @query("d01_ngrams", f"WITH {BI} SELECT term, count(*) AS n FROM toks GROUP BY term")
 def d01(t):
-    toks = t.documents.select(sp.word_tokens(F.col("text")).alias("ts"))
-    return toks.select(F.explode(sp.with_bigrams(F.col("ts"))).alias("term")).groupBy("term").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    rows = t.documents.select(F.lower("text").alias("text"))
+    return sp.term_sums(sp.TermRows(rows, "bigram", "doc_id")).select("term", F.col("total").alias("n"))
 
 
 @query("d02_char_grams", f"WITH {CHARS} SELECT term, CAST(sum(n) AS BIGINT) AS n FROM grams GROUP BY term")
