@@ -107,3 +107,16 @@ def test_texts_leave_the_jvm_whole(spark):
         assert "regexp" not in plan and "Generate" not in plan
     words = Counter(["ab-cd", "e", "żó_9gh", "ab", "ab", "cd", "cd", "ab"])
     assert {r.term: r.total for r in term_sums(sp.TermRows(sp.term_rows(df, "char").rows, "word", "doc_id")).collect()} == words
+
+
+def test_words_are_counted_where_their_texts_lie(spark):
+    """Whole texts were shuffled by id and exploded before their words met the vectors."""
+    from textsignal.operators.dense import mean_pool
+
+    df = spark.createDataFrame([(1, "a b  a"), (1, "\tc b"), (2, "x"), (3, None), (None, "a")], "doc_id long, text string")
+    vectors = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 6.0])], "word string, vector array<float>")
+    pooled = mean_pool(df, vectors, 2)
+    assert sorted((r.doc_id or 0, r.vector) for r in pooled.collect()) == [
+        (0, [0.0, 0.0]), (1, [0.5, 3.0]), (1, [0.5, 3.0]), (2, [0.0, 0.0]), (3, [0.0, 0.0]),
+    ]
+    assert "Generate" not in pooled._jdf.queryExecution().optimizedPlan().toString()

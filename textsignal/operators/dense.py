@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from textsignal.constants import SEED
 from textsignal.functions.clean import words
 from textsignal.functions.hashing import digest, uniform
-from textsignal.operators.joins import stored_side, place_by
+from textsignal.operators.joins import stored_side
 from textsignal.operators.knn import knn, unit_vector
 from textsignal.operators.neighbour_index import build_index, search_index
 from textsignal.operators.split import distributed_rank
+from textsignal.operators.term_rows import TermRows, term_counts
 
 
 def train_word2vec(
@@ -43,15 +44,11 @@ def train_word2vec(
 def mean_pool(df: DataFrame, vectors: DataFrame, dim: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Mean word vector per text; a text without a known word gets zeros.
 
-    Tokens are counted per text before they meet the vectors, and the mean is a
+    Tokens are counted inside their text before they meet the vectors, and the mean is a
     weighted, partially aggregated summary.
     """
-    placed = place_by(df.select(id_col, F.col(text_col)), id_col)
-    counts = (
-        placed.select(id_col, F.explode(words(F.col(text_col))).alias("word"))
-        .groupBy(id_col, "word")
-        .agg(F.count(F.lit(1)).cast("double").alias("n"))
-    )
+    texts = df.select(id_col, F.col(text_col).alias("text"))
+    counts = term_counts(TermRows(texts, "word", id_col)).select(id_col, F.col("term").alias("word"), F.col("tf").cast("double").alias("n"))
     hits = counts.join(stored_side(vectors), "word").select(
         id_col, "n", array_to_vector(F.col("vector").cast("array<double>")).alias("v")
     )
