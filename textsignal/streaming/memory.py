@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from textsignal.constants import TOOLS
@@ -65,7 +64,8 @@ class Visits(StatefulProcessor):
     """Visits of a user: events less than ``gap_ms`` apart.  The open one is a value; a timer closes it.
 
     A timer on event time stands ``gap_ms`` after the last event.  It fires once the watermark has passed it, so a user
-    that stays away is closed and forgotten without another event of theirs.
+    that stays away is closed and forgotten without another event of theirs.  A user has few events a run: they come as
+    plain rows, as a table for each user would cost more than its rows, and a timer that stays is not set anew.
     """
 
     def __init__(self, gap_ms: int):
@@ -78,36 +78,35 @@ class Visits(StatefulProcessor):
     def _timer(self, last: int) -> int:
         return last // 1000 + self.gap_ms
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        parts = pd.concat(list(rows))
-        times, order = parts["us"].to_numpy(np.int64), np.argsort(parts["us"].to_numpy(np.int64), kind="stable")
-        values, times = parts["value"].to_numpy(float)[order], times[order]
-        visit = self.open.get() if self.open.exists() else None
-        if visit is not None:
-            self.handle.deleteTimer(self._timer(visit[1]))
-        starts = np.flatnonzero(np.diff(times) > self.gap_ms * 1000) + 1
-        closed = []
-        for piece, amounts in zip(np.split(times, starts), np.split(values, starts)):
-            new = (int(piece[0]), int(piece[-1]), len(piece), float(amounts.sum()))
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        before, closed = self.open.get(), []
+        visit = before
+        nan = float("nan")
+        for us, value in sorted(((r.us, nan if r.value is None else r.value) for r in rows), key=lambda e: e[0]):
             if visit is None:
-                visit = new
-            elif new[0] - visit[1] > self.gap_ms * 1000:
+                visit = (us, us, 1, value)
+            elif us - visit[1] > self.gap_ms * 1000:
                 closed.append(visit)
-                visit = new
+                visit = (us, us, 1, value)
             else:  # an event may be older than those seen, as far as the watermark allows
-                visit = (min(visit[0], new[0]), max(visit[1], new[1]), visit[2] + new[2], visit[3] + new[3])
-        self.open.update(visit)
-        self.handle.registerTimer(self._timer(visit[1]))
-        if closed:
-            yield self._rows(key, closed)
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        if self.open.exists():
-            yield self._rows(key, [self.open.get()])
+                visit = (min(visit[0], us), max(visit[1], us), visit[2] + 1, visit[3] + value)
+        self.open.update(tuple(visit))
+        if before is None or before[1] != visit[1]:
+            if before is not None:
+                self.handle.deleteTimer(self._timer(before[1]))
+            self.handle.registerTimer(self._timer(visit[1]))
+        for done in closed:
+            yield self._row(key, done)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        visit = self.open.get()
+        if visit is not None:
+            yield self._row(key, visit)
             self.open.clear()
 
-    def _rows(self, key: Any, visits: list) -> pd.DataFrame:
-        return pd.DataFrame([(key[0], *v) for v in visits], columns=["user_id", "start", "end", "n", "total"])
+    def _row(self, key: Any, visit: tuple) -> Row:
+        start, last, n, total = visit
+        return Row(user_id=key[0], start=start, end=last, n=n, total=None if total != total else total)
 
     def close(self) -> None:
         pass
@@ -116,4 +115,4 @@ class Visits(StatefulProcessor):
 def visits(events: DataFrame, gap_minutes: int, lateness: str) -> DataFrame:
     """Stream of closed visits from a stream of ``user_id, ts, us, value`` (``us``: the time in microseconds)."""
     rows = events.select("user_id", "ts", "us", "value").withWatermark("ts", lateness).groupBy("user_id")
-    return rows.transformWithStateInPandas(Visits(gap_minutes * 60_000), CLOSED, "Append", "EventTime")
+    return rows.transformWithState(Visits(gap_minutes * 60_000), CLOSED, "Append", "EventTime")
