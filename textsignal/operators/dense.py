@@ -7,13 +7,12 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA, StandardScaler, Word2Vec
+from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from textsignal.constants import SEED
-from textsignal.functions.clean import words
 from textsignal.functions.hashing import digest, uniform
 from textsignal.operators.joins import stored_side
 from textsignal.operators.knn import knn, unit_vector
@@ -22,25 +21,6 @@ from textsignal.operators.split import distributed_rank
 from textsignal.operators.term_rows import TermRows, term_counts
 
 
-def train_word2vec(
-    df: DataFrame,
-    text_col: str = "text",
-    vector_size: int = 200,
-    window: int = 5,
-    min_count: int = 2,
-    epochs: int = 20,
-    partitions: int = 1,
-    seed: int = SEED,
-) -> DataFrame:
-    """Skip-gram vectors as ``(word, vector)``; the result depends on ``partitions``."""
-    toks = df.select(words(F.col(text_col)).alias("tokens"))
-    model = Word2Vec(
-        vectorSize=vector_size, windowSize=window, minCount=min_count, maxIter=epochs,
-        numPartitions=partitions, seed=seed, inputCol="tokens", outputCol="v",
-    ).fit(toks)
-    return model.getVectors().select("word", vector_to_array("vector", "float32").alias("vector"))
-
-
 def mean_pool(df: DataFrame, vectors: DataFrame, dim: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Mean word vector per text; a text without a known word gets zeros.
 
