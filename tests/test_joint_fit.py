@@ -101,3 +101,15 @@ def test_counts_over_a_byte_are_whole():
     packed = [pack_counts(v).tobytes() for v in lists] + [None]
     assert unpack_counts(packed, np.array([4, 0, 2, 0])).tolist() == [1, 255, 70_000, 2, 254, 3]
     assert unpack_counts(packed[2:], np.array([2, 0])).tolist() == [254, 3]
+
+
+def test_a_null_among_dense_columns_is_an_error():
+    """As for MLlib's vectors; it must not become a number."""
+    import pyarrow as pa
+
+    cells = {"label": pa.array([0]), "fold": pa.array([0]), "use": pa.array([0]), "test": pa.array([True])}
+    cells |= {c: pa.array([b""], pa.binary()) for c in ("indices", "tf")} | {"sizes": pa.array([bytes(16)], pa.binary())}
+    batch = lambda more: pa.RecordBatch.from_pydict({**cells, "more": pa.array([more], pa.list_(pa.float64()))})
+    assert next(jf.pieces(batch([1.0, 2.0]), 5, 2)).more.tolist() == [[1.0, 2.0]]
+    with pytest.raises(ValueError):
+        next(jf.pieces(batch([1.0, None]), 5, 2))
